@@ -113,15 +113,19 @@ def audit_results(log_keys: DataFrame, table_rows: DataFrame, key_labels: DataFr
     """
     pairs = key_pairs(log_keys, table_rows)
     counts = classify(reconcile_counts(pairs))
-    miss = missing_keys(pairs)
-    extra = excess_keys(pairs)
-    ids_text = ranked_keys(miss, IDS_TEXT_RANKS) \
-        .select(*DAY, bounded_text(F.array_join("keys", ",")).alias("ids_missing"))
-    miss_sample = ranked_keys(miss, SAMPLE_SIZE).withColumnRenamed("keys", "miss_sample")
-    extra_sample = ranked_keys(extra, SAMPLE_SIZE).withColumnRenamed("keys", "extra_sample")
-
-    r = counts.join(ids_text, DAY, "left").join(miss_sample, DAY, "left") \
-        .join(extra_sample, DAY, "left").join(F.broadcast(key_labels), "line", "left")
+    # Missing and extra keys ranked by one window, then folded into one row per day.
+    diff = pairs.select(*DAY, "key", F.when(F.col("in_log") & F.col("n_db").isNull(), F.lit("m"))
+                        .when(F.col("in_log").isNull() & F.col("key").isNotNull(), F.lit("x"))
+                        .alias("kind")).where(F.col("kind").isNotNull())
+    w = Window.partitionBy(*DAY, "kind").orderBy("key")
+    ranked = diff.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= IDS_TEXT_RANKS)
+    lists = ranked.groupBy(*DAY).agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "m", F.col("key")))).alias("miss_keys"),
+        F.array_sort(F.collect_list(F.when((F.col("kind") == "x") & (F.col("_r") <= SAMPLE_SIZE),
+                                           F.col("key")))).alias("extra_sample"))
+    lists = lists.select(*DAY, bounded_text(F.array_join("miss_keys", ",")).alias("ids_missing"),
+                         F.slice("miss_keys", 1, SAMPLE_SIZE).alias("miss_sample"), "extra_sample")
+    r = counts.join(lists, DAY, "left").join(F.broadcast(key_labels), "line", "left")
     empty = F.array().cast("array<string>")
     miss_list = py_list_text(F.coalesce("miss_sample", empty))
     extra_list = py_list_text(F.coalesce("extra_sample", empty))

@@ -746,6 +746,11 @@ ORACLE: dict[str, str] = {
               FROM grid g LEFT JOIN results r ON r.line = g.line AND r.audited_date = g.audited_date)
         SELECT *, max(CASE WHEN status <> 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY audited_date) = 1
                AS day_failed FROM s"""),
+    "audit_rerun": "SELECT * FROM (" + _audit_sql(
+        "SELECT line, audited_date, total_log, total_db, divergence, ids_missing, status, note "
+        "FROM results WHERE line <> 'CUT2'") + ") UNION ALL SELECT * FROM (" + _audit_sql(
+        "SELECT line, audited_date, total_log, total_db, divergence, ids_missing, status, note "
+        "FROM results WHERE line = 'CUT2'", zero_rule=False) + ")",
     "file_changes": f"""
         WITH cur AS ({_file_sizes_sql()}), wm AS ({_file_sizes_sql(WATERMARK_RUN)})
         SELECT cur.file_key, cur.size, CAST(coalesce(wm.size, 0) AS BIGINT) AS prev_size,

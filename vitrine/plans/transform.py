@@ -58,11 +58,15 @@ def sequence_hourly(rows: DataFrame, split_col: str | None = "block_start") -> D
                           scope_cols=["file_key"], split_col=split_col)
 
 
-def table_columns(df: DataFrame) -> DataFrame:
-    """Conform to the table schema and add the day partition column."""
+def table_exprs() -> list:
+    """Target schema columns (cast, in table order) plus the day/hour partition columns."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CUT2_SCHEMA.fields]
-    return df.select(*cols, event_date("time").alias("event_date"),
-                     F.hour("time").alias("event_hour"))
+    return cols + [event_date("time").alias("event_date"), F.hour("time").alias("event_hour")]
+
+
+def table_columns(df: DataFrame) -> DataFrame:
+    """Conform to the table schema and add the partition columns."""
+    return df.select(*table_exprs())
 
 
 def zero_id_rule(df: DataFrame, enabled: bool = False, col: str = "lite_id") -> DataFrame:
