@@ -103,7 +103,7 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
             layouts[raw].append(p)
 
     file_cols = hourly_file_columns if kind == "hourly" else plate_file_columns
-    parts = []
+    goods, corrupts = [], []
     for raw, files in layouts.items():
         norm = [normalize_name(x) for x in raw]
         schema = T.StructType([T.StructField(f"_f{i}", T.StringType()) for i in range(len(raw))]
@@ -114,44 +114,42 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
               .csv(files))
         fields = [F.col(f"_f{i}") for i in range(len(raw))]
         bad_text = F.concat_ws("", *fields).contains(REPLACEMENT_CHAR)
-        sel = [F.col(f"_f{norm.index(c)}").alias(c) for c in wanted if c in norm]
-        sel += [F.lit(None).cast("string").alias(c) for c in wanted if c not in norm]
-        path = F.col("_metadata.file_path")
-        parts.append(df.select(
-            path.alias("path"), *file_cols(path),
+        # Flag (and later filter) on the raw positional columns, before any renaming: a
+        # filter over ~30 renamed fields makes constraint inference explode.
+        base = df.select(
+            *fields, F.col(CORRUPT),
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_pos"),
-            (F.col(CORRUPT).isNotNull() | bad_text).alias("_corrupt"),
-            F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *fields)).alias("_raw"),
-            *sel))
+            ((F.coalesce(F.length(F.col(CORRUPT)), F.lit(0)) + bad_text.cast("int")) > 0)
+            .alias("_corrupt"))
+        corrupts.append(base.where(F.col("_corrupt")).select(
+            "path", "row_pos", F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *fields)).alias("raw")))
+        if on_corrupt == "quarantine":
+            base = base.where(~F.col("_corrupt"))
+        sel = [F.col(f"_f{norm.index(c)}").alias(c) for c in wanted if c in norm]
+        sel += [F.lit(None).cast("string").alias(c) for c in wanted if c not in norm]
+        goods.append(base.select("path", *file_cols(F.col("path")), "block_start", "row_pos", *sel))
 
     rej_schema = "path string, reason string"
-    if not parts:
-        empty = spark.createDataFrame([], rej_schema)
-        return LogRead(spark.createDataFrame([], _empty_schema(wanted)),
-                       spark.createDataFrame(rejected, rej_schema),
-                       empty.select("path", F.lit(0).cast("long").alias("row_pos"),
-                                    F.col("reason").alias("raw")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-
-    corrupt = rows.where("_corrupt").select("path", "row_pos", F.col("_raw").alias("raw"))
     rejected_df = spark.createDataFrame(rejected, rej_schema)
+    if not goods:
+        return LogRead(spark.createDataFrame([], _empty_schema(wanted)), rejected_df,
+                       spark.createDataFrame([], "path string, row_pos bigint, raw string"))
+    rows, corrupt = goods[0], corrupts[0]
+    for g, c in zip(goods[1:], corrupts[1:]):
+        rows, corrupt = rows.unionByName(g), corrupt.unionByName(c)
+
     if on_corrupt == "raise":
-        n = corrupt.limit(1).count()
-        if n:
+        if corrupt.limit(1).count():
             raise ValueError("corrupt rows found; see LogRead.corrupt")
-        good = rows
-    elif on_corrupt == "quarantine":
-        good = rows.where(~F.col("_corrupt"))
-    else:  # fail_file: a file with any corrupt row contributes nothing
+    elif on_corrupt == "fail_file":  # a file with any corrupt row contributes nothing
         bad_files = corrupt.select("path").distinct()
         # one row per failing file: bounded by the number of files in this read
-        good = rows.join(F.broadcast(bad_files), "path", "left_anti")
+        rows = rows.join(F.broadcast(bad_files), "path", "left_anti")
         rejected_df = rejected_df.unionByName(
             bad_files.select("path", F.lit("corrupt rows (ragged row or invalid UTF-8)").alias("reason")))
-    return LogRead(good.drop("_corrupt", "_raw"), rejected_df, corrupt)
+    return LogRead(rows, rejected_df, corrupt)
 
 
 def _empty_schema(wanted) -> str:
