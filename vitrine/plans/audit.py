@@ -100,7 +100,7 @@ class AuditJob:
         res = rc.audit_results(lk, tr, labels, expected) \
             .withColumn("audited_at", F.current_timestamp().cast("timestamp_ntz"))
         self.results.merge(res, ["line", "audited_date"])
-        stored = self.results.read_days(start, end)
+        stored = self.results.read_days(start, end, day_col="audited_date")
         exp = rc.expected_lines(_days(spark, start, end), [ln.spec.name for ln in self.lines])
         summary = rc.audit_summary(stored, exp)
         if fail_on_divergence:

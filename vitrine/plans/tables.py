@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.merge import insert_ignore, upsert
 from vitrine.session import shared_dir
+from vitrine.sources.fs import delete_path, path_exists
 
 __all__ = ["LakeTable", "MergeJournal", "append_log", "path_exists", "delete_path"]
 
@@ -35,22 +36,6 @@ __all__ = ["LakeTable", "MergeJournal", "append_log", "path_exists", "delete_pat
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.delete(p, True)) if fs.exists(p) else False
-
-
 def append_log(df: DataFrame, path: str, guarded: bool = False) -> bool:
     """Append rows to an append-only Parquet log; with ``guarded`` a failure is
     reported instead of raised (run logs must never stop a load)."""

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.calendar import transition_hours, watermark_key
+from vitrine.sources.fs import path_exists
 from vitrine.spec import HOURLY_PATH_REGEX, PLATE_PATH_REGEX
 
 __all__ = ["list_files", "hourly_file_columns", "plate_file_columns", "list_hourly_logs",
@@ -18,7 +19,10 @@ __all__ = ["list_files", "hourly_file_columns", "plate_file_columns", "list_hour
 
 
 def list_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """(path, size, modified) for every file under ``root`` whose name matches."""
+    """(path, size, modified) for every file under ``root`` whose name matches; empty
+    when ``root`` does not exist (a line without any log yet)."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string, size bigint, modified timestamp")
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .option("pathGlobFilter", name_glob).load(root)
             .select("path", F.col("length").alias("size"),
