@@ -48,13 +48,8 @@ def key_pairs(log_keys: DataFrame, table_rows: DataFrame) -> DataFrame:
         .withColumn("in_log", F.lit(True))
     db = table_rows.select(*DAY, "key").groupBy(*DAY, "key") \
         .agg(F.count(F.lit(1)).alias("n_db"))
-    # NULL keys cannot take part in an equi-join; they bypass it.
-    db_keyed = db.where(F.col("key").isNotNull())
-    db_null = db.where(F.col("key").isNull()) \
-        .select(*DAY, "key", F.lit(None).cast("boolean").alias("in_log"), "n_db")
-    j = lg.join(db_keyed, DAY + ["key"], "full_outer") \
-        .select(*DAY, "key", "in_log", "n_db")
-    return j.unionByName(db_null)
+    # NULL keys never satisfy the equi-join, so they come out as table-only rows.
+    return lg.join(db, DAY + ["key"], "full_outer").select(*DAY, "key", "in_log", "n_db")
 
 
 def missing_keys(pairs: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from vitrine.operators.merge import conform, insert_ignore, upsert
 from vitrine.operators.sequence import last_write_wins, with_event_seq
 from vitrine.operators.watermark import file_changes
 from vitrine.plans import transform as tf
+from vitrine.session import spread
 from vitrine.spec import (CUT2_SCHEMA, INVALID_MARKERS, KEY_LABEL_COMPOSITE, KEY_LABEL_PLATE,
                           NOTE_NO_LOG, NOTE_NO_LOG_CUT2)
 
@@ -51,7 +52,7 @@ G_TIME = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------------------
@@ -59,35 +60,35 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def mirror1_log(ev: DataFrame) -> DataFrame:
-    return ev.select(F.lit("MIRROR1").alias("line"),
-                     F.date_format("ts", "yyyy/MM/dd HH:mm:ss.SSSSSS").alias("Date"),
-                     F.col("event_id").cast("string").alias("GrpID"))
+    """Plate-log text rows; ``computed`` makes the text once per row, like file content."""
+    return tf.computed(ev, [F.lit("MIRROR1").alias("line")],
+                       Date=F.date_format("ts", "yyyy/MM/dd HH:mm:ss.SSSSSS"),
+                       GrpID=F.col("event_id").cast("string"))
 
 
 def cut1_log(li: DataFrame) -> DataFrame:
     oid = F.col("l_orderkey").cast("string")
     grp = F.when(F.col("l_returnflag") == "R", F.concat(oid, F.lit(".0"))) \
         .otherwise(F.concat(F.lit(" "), oid))
-    return li.select(F.lit("CUT1").alias("line"),
-                     F.date_format("l_shipdate", "yyyy/MM/dd HH:mm:ss").alias("Date"),
-                     grp.alias("GrpID"))
+    return tf.computed(li, [F.lit("CUT1").alias("line")],
+                       Date=F.date_format("l_shipdate", "yyyy/MM/dd HH:mm:ss"), GrpID=grp)
 
 
 def cut2_raw(ev: DataFrame) -> DataFrame:
     """Events as hourly ';' log rows (text fields + file metadata)."""
-    return ev.select(
-        F.lit("CUT2").alias("line"),
-        watermark_key(hour_start("ts")).alias("file_key"),
-        F.to_date("ts").alias("file_date"),
-        hour_start("ts").alias("file_hour"),
-        F.lit(0).alias("load_order"),
-        F.floor(F.col("event_id") / SPLIT_ROWS).cast("bigint").alias("block_start"),
-        F.col("event_id").alias("row_pos"),
-        F.date_format("ts", "HH:mm:ss").alias("time"),
-        F.col("user_id").cast("string").alias("lite_id"),
-        F.floor("value").cast("bigint").cast("string").alias("cap_id"),
-        F.format_string("%.2f", "value").alias("position"),
-        F.col("event_type").alias("total_result"),
+    return tf.computed(
+        ev, [F.lit("CUT2").alias("line")],
+        file_key=watermark_key(hour_start("ts")),
+        file_date=F.to_date("ts"),
+        file_hour=hour_start("ts"),
+        load_order=F.lit(0),
+        block_start=F.floor(F.col("event_id") / SPLIT_ROWS).cast("bigint"),
+        row_pos=F.col("event_id"),
+        time=F.date_format("ts", "HH:mm:ss"),
+        lite_id=F.col("user_id").cast("string"),
+        cap_id=F.floor("value").cast("bigint").cast("string"),
+        position=F.format_string("%.2f", "value"),
+        total_result=F.col("event_type"),
     )
 
 

@@ -74,18 +74,29 @@ def zero_id_rule(df: DataFrame, enabled: bool = False, col: str = "lite_id") ->
     return df.where(F.col(col).isNull() | (F.col(col) != 0)) if enabled else df
 
 
+def computed(df: DataFrame, keep, **exprs) -> DataFrame:
+    """Evaluate ``exprs`` once per row and keep them as columns.
+
+    A filter on a plain projected column is pushed below the projection by the
+    optimizer and re-evaluates the (expensive) parsing expression there, possibly
+    in an earlier, less parallel stage. Producing the columns from a one-row
+    generator keeps later filters above it, so each parse runs exactly once.
+    """
+    st = F.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select(*keep, F.inline(F.array(st)))
+
+
 def plate_log_keys(raw: DataFrame, date_col: str = "Date", key_col: str = "GrpID",
                    typed: bool = True) -> DataFrame:
     """Plate-log rows -> (line, audited_date, key): blank date/ID dropped, fraction of
     seconds stripped, unparseable times dropped, ID decimals removed."""
     d, k = F.trim(F.col(date_col)), F.trim(F.col(key_col))
-    ts = log_time(F.col(date_col))
     key = canonical_id(F.col(key_col))
     if typed:
         key = to_bigint(key).cast("string")
-    return raw.where((d != "") & (k != "")) \
-        .select("line", ts.alias("_ts"), key.alias("key")) \
-        .where(F.col("_ts").isNotNull()) \
+    rows = computed(raw.where((d != "") & (k != "")), ["line"],
+                    _ts=log_time(F.col(date_col)), key=key)
+    return rows.where(F.col("_ts").isNotNull()) \
         .select("line", F.to_date("_ts").alias("audited_date"), "key")
 
 
@@ -99,8 +110,8 @@ def hourly_log_keys(raw: DataFrame, time_col: str = "time", lite_col: str = "lit
     cap_k, lite_k = canonical_id(F.col(cap_col)), canonical_id(F.col(lite_col))
     if typed:
         cap_k, lite_k = to_bigint(cap_k), to_bigint(lite_k)
-    rows = raw.where(F.coalesce(t, F.lit("")) != "").where(F.coalesce(lite, F.lit("")) != "") \
-        .select("line", *order_cols, ts.alias("_ts"), cap_k.alias("_cap"), lite_k.alias("_lite")) \
+    rows = computed(raw.where(F.coalesce(t, F.lit("")) != "").where(F.coalesce(lite, F.lit("")) != ""),
+                    ["line", *order_cols], _ts=ts, _cap=cap_k, _lite=lite_k) \
         .where(F.col("_ts").isNotNull()) \
         .withColumn("audited_date", F.to_date("_ts")) \
         .withColumn("_tod", time_of_day("_ts"))

@@ -55,3 +55,15 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
     return df.checkpoint(eager=eager)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over at least ``min_partitions`` tasks (default: the
+    session's parallelism) when the scan yields fewer splits than that.
+
+    A file with one Parquet row group is read by one task, so all per-row parsing
+    before the first shuffle would run on one core. Large inputs already have many
+    splits; for them this is a no-op and costs nothing.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
