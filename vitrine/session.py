@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # foreachBatch handlers run whole jobs on the stream thread; give threads room
+    "spark.driver.extraJavaOptions": "-Xss16m",
 }
 
 

@@ -73,3 +73,28 @@ def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
     from vitrine.operators.sequence import last_write_wins
     df = spark.read.option("basePath", path).parquet(f"{path}/_batch=*")
     return last_write_wins(df, list(keys), [F.col("_batch").desc()]).drop("_batch")
+
+
+def run_ingest_stream(job, every: str = "2 minutes", clock=None, checkpoint: str | None = None):
+    """Growing-file ingest on a timer: each micro-batch of a ``rate`` tick stream runs
+    one ``IngestJob.run`` (listing -> size watermark -> re-read of changed files ->
+    merge). Spark's file source would not see rows appended to a file it already
+    listed, hence the tick. Micro-batches never overlap (one run at a time) and a
+    late trigger does not queue missed runs (no catch-up).
+
+    ``clock`` returns the run time as 'YYYY-MM-DD HH:MM:SS' (default: UTC now).
+    Returns the started query; stop it with ``query.stop()``.
+    """
+    import datetime as dt
+
+    spark = job.spark
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def handle(batch: DataFrame, batch_id: int):
+        now = clock() if clock else dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        job.run(now)
+
+    ckpt = checkpoint or fresh_dir(spark, "streams", "ingest_ticks")
+    return (ticks.writeStream.queryName(f"ingest_ticks_{ckpt[-8:]}")
+            .option("checkpointLocation", ckpt).foreachBatch(handle)
+            .trigger(processingTime=every).start())
