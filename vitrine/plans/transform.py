@@ -115,8 +115,10 @@ def hourly_log_keys(raw: DataFrame, time_col: str = "time", lite_col: str = "lit
         .where(F.col("_ts").isNotNull()) \
         .withColumn("audited_date", F.to_date("_ts")) \
         .withColumn("_tod", time_of_day("_ts"))
-    rows = with_event_seq(rows, ["_cap", "_lite", "_tod"], list(order_cols),
-                          scope_cols=["line", "audited_date"], out="_seq")
+    # split = (file, split start): a hot key is numbered split by split, never whole
+    rows = rows.withColumn("_split", F.struct(*order_cols[:-1]))
+    rows = with_event_seq(rows, ["_cap", "_lite", "_tod"], ["_split", order_cols[-1]],
+                          scope_cols=["line", "audited_date"], split_col="_split", out="_seq")
     return rows.select("line", "audited_date",
                        composite_key("_cap", "_lite", "_ts", "_seq").alias("key"))
 
