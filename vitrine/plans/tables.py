@@ -91,6 +91,10 @@ class LakeTable:
                 merged = insert_ignore(existing, staged, keys)
         else:
             merged = staged
+        # Range-partition on (partition columns, keys): each task writes a contiguous run of
+        # partitions (about one file per partition instead of one per task and partition),
+        # and a partition holding most of the batch is still split across tasks.
+        merged = merged.repartitionByRange(*self.partition_cols, *keys)
         merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(staging)
         if journal is not None:
             journal.record(batch_id, staging, "staged")
