@@ -30,6 +30,8 @@ def test_growing_file_is_reread_by_the_tick_stream(spark, tmp):
         write_hourly(src, "2024-01-05", 8, [row(time="08:00:01", lite="1", cap="1"),
                                             row(time="08:00:02", lite="2", cap="1")])
         assert _wait(lambda: job.table.read().count() == 2)
+        # the run log is written after the table: wait for it before stopping the stream
+        assert _wait(lambda: spark.read.parquet(job.run_log_path).where("status = 'success'").count() == 2)
         assert q.isActive and q.exception() is None
     finally:
         q.stop()

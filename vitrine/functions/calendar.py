@@ -51,8 +51,7 @@ def partition_label(table: str, day) -> Column:
 
 def quarter_start(as_of, lookback_days: int = ARCHIVE_LOOKBACK_DAYS) -> Column:
     """First day of the quarter that holds ``as_of - lookback_days``."""
-    return F.trunc(F.date_sub(as_date(as_of) if not isinstance(as_of, str) else as_date(as_of),
-                              lookback_days), "quarter")
+    return F.trunc(F.date_sub(as_date(as_of), lookback_days), "quarter")
 
 
 def quarter_end(as_of, lookback_days: int = ARCHIVE_LOOKBACK_DAYS) -> Column:

@@ -44,7 +44,9 @@ def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bo
 
 
 def watermark_entries(processed: DataFrame, batch_id: str, committed_at) -> DataFrame:
-    """Rows to append once a batch is fully stored (commit last)."""
+    """Rows to append once a batch is fully stored (commit last). ``file_date`` is the
+    partition column of the log, so a run reads only the days of the files it selects."""
     return processed.select("file_key", F.col("size").cast("bigint").alias("size"),
                             F.lit(batch_id).alias("batch_id"),
-                            F.lit(committed_at).cast("timestamp_ntz").alias("committed_at"))
+                            F.lit(committed_at).cast("timestamp_ntz").alias("committed_at"),
+                            F.col("file_date").cast("date").alias("file_date"))

@@ -64,10 +64,15 @@ class IngestJob:
         self.journal = MergeJournal(spark, f"{st}/journal")
 
     # -- state ---------------------------------------------------------------------
-    def watermark(self) -> DataFrame:
-        if path_exists(self.spark, self.watermark_path):
-            return current_watermark(self.spark.read.parquet(self.watermark_path))
-        return self.spark.createDataFrame([], "file_key string, size bigint")
+    def watermark(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Current size per file; with a date range only those day partitions are read."""
+        if not path_exists(self.spark, self.watermark_path):
+            return self.spark.createDataFrame([], "file_key string, size bigint")
+        log = self.spark.read.parquet(self.watermark_path)
+        if start is not None:
+            log = log.where(F.col("file_date").between(F.lit(start).cast("date"),
+                                                       F.lit(end or start).cast("date")))
+        return current_watermark(log)
 
     def recover(self) -> list[str]:
         """Finish batches whose partition overwrite may have been interrupted."""
@@ -76,7 +81,8 @@ class IngestJob:
             self.table.overwrite_from(staging)
             wm = f"{staging}_watermark"
             if path_exists(self.spark, wm):
-                append_log(self.spark.read.parquet(wm), self.watermark_path)
+                append_log(self.spark.read.parquet(wm), self.watermark_path,
+                           partition_col="file_date")
             self.journal.record(batch_id, staging, "committed")
             done.append(batch_id)
         return done
@@ -85,6 +91,11 @@ class IngestJob:
     def changed_files(self, run_ts: str | None = None, start: str | None = None,
                       end: str | None = None) -> DataFrame:
         listing = list_hourly_logs(self.spark, self.cfg.source_root)
+        if start is None:
+            run = dt.datetime.fromisoformat(run_ts)
+            wm = self.watermark(str((run - dt.timedelta(hours=1)).date()), str(run.date()))
+        else:
+            wm = self.watermark(start, end)
         if start is not None:
             sel = listing.where(F.col("file_date").between(F.lit(start).cast("date"),
                                                            F.lit(end or start).cast("date")))
@@ -92,7 +103,7 @@ class IngestJob:
             sel = sel.withColumn("load_order", F.unix_timestamp(F.col("file_hour").cast("timestamp")))
         else:
             sel = select_ingest_files(listing, run_ts, self.cfg.window_minutes)
-        return file_changes(sel, self.watermark()).where(F.col("action") != "unchanged")
+        return file_changes(sel, wm).where(F.col("action") != "unchanged")
 
     # -- run -------------------------------------------------------------------------
     def run(self, run_ts: str | None = None, start: str | None = None, end: str | None = None,
@@ -102,12 +113,13 @@ class IngestJob:
         batch_id = uuid.uuid4().hex
         extraction_ts = extraction_ts or _now()
         todo = self.changed_files(run_ts, start, end) \
-            .select("path", "file_key", "size", "prev_size", "action", "load_order").collect()
+            .select("path", "file_key", "file_date", "size", "prev_size", "action", "load_order") \
+            .collect()
         if not todo:
             return {"batch_id": batch_id, "files": 0, "rows": 0, "status": "no_changes"}
         files = spark.createDataFrame([r.asDict() for r in todo],
-                                      "path string, file_key string, size bigint, prev_size bigint, "
-                                      "action string, load_order bigint")
+                                      "path string, file_key string, file_date date, size bigint, "
+                                      "prev_size bigint, action string, load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
                         kind="hourly", on_corrupt=cfg.on_corrupt)
         # the batch's file table has one row per changed file: bounded by the selection
@@ -145,7 +157,7 @@ class IngestJob:
                                    batch_id, now)
             if stats.get("staging"):
                 wm.write.mode("overwrite").parquet(f"{stats['staging']}_watermark")
-            append_log(wm, self.watermark_path)
+            append_log(wm, self.watermark_path, partition_col="file_date")
         if stats.get("staging"):
             self.journal.record(batch_id, stats["staging"], "committed")
         return {"batch_id": batch_id, "files": len(todo), "rows": int(sum(per_file.values())),

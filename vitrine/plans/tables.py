@@ -36,16 +36,21 @@ __all__ = ["LakeTable", "MergeJournal", "append_log", "path_exists", "delete_pat
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def append_log(df: DataFrame, path: str, guarded: bool = False) -> bool:
-    """Append rows to an append-only Parquet log; with ``guarded`` a failure is
-    reported instead of raised (run logs must never stop a load)."""
+def append_log(df: DataFrame, path: str, guarded: bool = False, partition_col: str | None = None
+               ) -> bool:
+    """Append rows to an append-only Parquet log (optionally day-partitioned, so readers
+    prune to the days they need); with ``guarded`` a failure is reported instead of
+    raised (run logs must never stop a load)."""
     try:
-        df.write.mode("append").parquet(path)
+        w = df.write.mode("append")
+        if partition_col:
+            w = w.partitionBy(partition_col)
+        w.parquet(path)
         return True
     except Exception as exc:  # noqa: BLE001
         if not guarded:
             raise
-        print(f"log append to {path} failed (ignored): {exc}")
+        print(f"log append to {path} failed (ignored): {str(exc)[:2000]}")
         return False
 
 
@@ -125,16 +130,19 @@ class MergeJournal:
     path: str
 
     def record(self, batch_id: str, staging: str, state: str) -> None:
-        row = self.spark.createDataFrame(
-            [(batch_id, staging, state, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            "batch_id string, staging string, state string, at timestamp_ntz")
-        row.write.mode("append").parquet(self.path)
-
-    def pending(self) -> list[tuple[str, str]]:
-        """Batches staged but never committed (their overwrite may be incomplete)."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        row = self.spark.createDataFrame([(batch_id, staging, state, now, now.date())],
+                                         "batch_id string, staging string, state string, "
+                                         "at timestamp_ntz, day date")
+        row.write.mode("append").partitionBy("day").parquet(self.path)
+
+    def pending(self, lookback_days: int = 7) -> list[tuple[str, str]]:
+        """Batches staged but never committed (their overwrite may be incomplete), among
+        the last ``lookback_days`` days of the journal (older days are not read)."""
         if not path_exists(self.spark, self.path):
             return []
-        j = self.spark.read.parquet(self.path)
+        since = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=lookback_days)
+        j = self.spark.read.parquet(self.path).where(F.col("day") >= F.lit(since))
         done = j.where(F.col("state") == "committed").select("batch_id")
         pend = j.where(F.col("state") == "staged").join(done, "batch_id", "left_anti")
         return [(r["batch_id"], r["staging"]) for r in pend.collect()]
