@@ -121,3 +121,14 @@ def test_archive_quarter(spark, tmp):
     # a second run finds nothing left to archive and deletes nothing
     m2 = archive_quarter(spark, tbl, "t", os.path.join(tmp, "arch"), "2025-04-15")
     assert m2["deleted_total"] == 0
+
+
+def test_plate_log_is_read_lossily(spark, tmp):
+    logs = os.path.join(tmp, "logs")
+    path = write_plate(logs, D, [("2024/03/10 12:00:00", "1")])
+    with open(path, "ab") as f:
+        f.write(b"2024/03/10 12:00:01\t2\tbad\xff byte\n")
+    t = dt.datetime(2024, 3, 10, 12)
+    tbl = _plate_table(spark, os.path.join(tmp, "t"), [(1, t), (2, t)])
+    job = AuditJob(spark, [AuditLine(LINES["MIRROR1"], logs, tbl)], os.path.join(tmp, "audit"))
+    assert [r["status"] for r in job.run(D).collect()] == ["ok"]

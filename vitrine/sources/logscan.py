@@ -74,13 +74,15 @@ def path_key(p: str) -> str:
 
 def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[str, ...],
              kind: str = "hourly", on_corrupt: str = "fail_file",
-             wanted: tuple[str, ...] | None = None) -> LogRead:
+             wanted: tuple[str, ...] | None = None, strict_utf8: bool = True) -> LogRead:
     """Read delimited logs by header name.
 
     kind: 'hourly' (path YYYY/MM/DD/HH.csv) or 'plate' (path YYYY-MM/YYYY-MM-DD-PlateLog.txt)
           decides how file_date / file_hour / file_key are derived from the path.
     required: normalised names every file must have.
     wanted: normalised names to return (default: required); extra columns are ignored.
+    strict_utf8: invalid bytes make a row corrupt (loader behaviour); when False they are
+          decoded lossily (U+FFFD) and the row is kept (audit behaviour).
     """
     wanted = tuple(wanted or required)
     headers = {path_key(k): v for k, v in probe_headers(spark, paths).items()}
@@ -113,7 +115,8 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .csv(files))
         fields = [F.col(f"_f{i}") for i in range(len(raw))]
-        bad_text = F.concat_ws("", *fields).contains(REPLACEMENT_CHAR)
+        bad_text = F.concat_ws("", *fields).contains(REPLACEMENT_CHAR) if strict_utf8 \
+            else F.lit(False)
         # Flag (and later filter) on the raw positional columns, before any renaming: a
         # filter over ~30 renamed fields makes constraint inference explode.
         base = df.select(
