@@ -58,11 +58,12 @@ class AuditJob:
         else:
             files = select_hourly_audit_files(list_hourly_logs(spark, ln.log_root), start, end)
             required = ("time", "lite_id", "cap_id")
-        flist = files.select("path", "file_date").collect()
+        flist = files.select("path", "file_date", "size").collect()
         # like the source audit: bytes decoded lossily, a malformed row skipped (counted
         # in LogRead.corrupt), the rest of the file still read
         read = read_log(spark, [r["path"] for r in flist], spec.sep, required, kind=spec.kind,
-                        on_corrupt="quarantine", strict_utf8=False)
+                        on_corrupt="quarantine", strict_utf8=False,
+                        sizes={r["path"]: r["size"] for r in flist})
         rows = read.rows.withColumn("line", F.lit(spec.name))
         if spec.kind == "plate":
             lk = tf.plate_log_keys(rows, "date", "grpid", typed=ln.typed_keys)

@@ -121,7 +121,8 @@ class IngestJob:
                                       "path string, file_key string, file_date date, size bigint, "
                                       "prev_size bigint, action string, load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
-                        kind="hourly", on_corrupt=cfg.on_corrupt)
+                        kind="hourly", on_corrupt=cfg.on_corrupt,
+                        sizes={r["path"]: r["size"] for r in todo})
         # the batch's file table has one row per changed file: bounded by the selection
         rows = read.rows.join(F.broadcast(files.select("file_key", "load_order")), "file_key")
         typed = tf.clean_hourly(rows, extraction_ts)
