@@ -121,29 +121,41 @@ class IngestJob:
                                       "path string, file_key string, file_date date, size bigint, "
                                       "prev_size bigint, action string, load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
-                        kind="hourly", on_corrupt=cfg.on_corrupt,
+                        kind="hourly", on_corrupt="flag",
                         sizes={r["path"]: r["size"] for r in todo})
-        # the batch's file table has one row per changed file: bounded by the selection
+        # Parse the CSV once: typed rows + corrupt flag go to the staging area, and every
+        # later step (file policy, quarantine, sequencing, counts) reads that copy.
+        parsed_path = shared_dir(spark, "staging", f"{batch_id}_parsed")
         rows = read.rows.join(F.broadcast(files.select("file_key", "load_order")), "file_key")
-        typed = tf.clean_hourly(rows, extraction_ts)
-        no_time = typed.where(F.col("time").isNull())
-        seq = tf.sequence_hourly(typed.where(F.col("time").isNotNull()))
+        tf.clean_hourly(rows, extraction_ts, keep=("path", "_corrupt")) \
+            .write.mode("overwrite").parquet(parsed_path)
+        parsed = spark.read.parquet(parsed_path)
+        rejected = {path_key(r["path"]): r["reason"] for r in read.rejected.collect()}
+        if cfg.on_corrupt == "quarantine":
+            good = parsed.where(~F.col("_corrupt"))
+        else:  # fail_file (default): any corrupt row rejects its whole file
+            bad = [r["path"] for r in parsed.where("_corrupt").select("path").distinct().collect()]
+            if bad and cfg.on_corrupt == "raise":
+                raise ValueError(f"corrupt rows in {bad}")
+            rejected.update({path_key(p): "corrupt rows (ragged row or invalid UTF-8)" for p in bad})
+            good = parsed.where(~F.col("path").isin(bad)) if bad else parsed
+        append_log(good.where(F.col("time").isNull())
+                   .select(F.lit(batch_id).alias("batch_id"), "file_key", "row_pos",
+                           F.lit("event time missing or invalid").alias("reason")),
+                   self.rejected_path, guarded=True)
+        seq = tf.sequence_hourly(good.where(F.col("time").isNotNull()))
         seq = tf.zero_id_rule(seq, enabled=cfg.zero_id_rule)
         seq = last_write_wins(seq, list(cfg.keys), [F.col("load_order").desc(),
                                                     F.col("row_pos").desc()])
         staged_path = shared_dir(spark, "staging", f"{batch_id}_staged")
         seq.select(*tf.table_exprs(), "file_key").write.mode("overwrite").parquet(staged_path)
-        staged_cols = [c for c in spark.read.parquet(staged_path).columns if c != "file_key"]
         staged = spark.read.parquet(staged_path)
+        staged_cols = [c for c in staged.columns if c != "file_key"]
         per_file = {r["file_key"]: r["rows"] for r in
                     staged.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows")).collect()}
-        append_log(no_time.select(F.lit(batch_id).alias("batch_id"), "file_key", "row_pos",
-                                  F.lit("event time missing or invalid").alias("reason")),
-                   self.rejected_path, guarded=True)
 
         stats = self.table.merge(staged.select(*staged_cols), list(cfg.keys), cfg.merge_mode,
                                  journal=self.journal, batch_id=batch_id)
-        rejected = {path_key(r["path"]): r["reason"] for r in read.rejected.collect()}
         ok_files = [r for r in todo if path_key(r["path"]) not in rejected]
         now = _now()
         log_rows = [(r["file_key"], int(per_file.get(r["file_key"], 0)),

@@ -24,7 +24,7 @@ __all__ = ["clean_hourly", "sequence_hourly", "zero_id_rule", "hourly_log_keys",
 FILE_COLUMNS = ("file_key", "file_date", "load_order", "block_start", "row_pos")
 
 
-def clean_hourly(raw: DataFrame, run_ts, require_all: bool = True) -> DataFrame:
+def clean_hourly(raw: DataFrame, run_ts, require_all: bool = True, keep=()) -> DataFrame:
     """Typed hourly-log rows (without event_seq) from header-mapped text rows.
 
     raw: normalised text columns (time, lite_id, cap_id, measurements, total_result)
@@ -47,7 +47,8 @@ def clean_hourly(raw: DataFrame, run_ts, require_all: bool = True) -> DataFrame:
     ]
     cols += [to_double(text(c)).alias(c) for c in MEASUREMENT_COLUMNS]
     cols += [to_category(text("total_result")).alias("total_result")]
-    out = raw.select(*[F.col(c) for c in FILE_COLUMNS if c in have], *cols)
+    out = raw.select(*[F.col(c) for c in FILE_COLUMNS if c in have],
+                     *[F.col(c) for c in keep if c in have], *cols)
     out = out.withColumn("scan_position", scan_position("cap_id", "lite_id"))
     return out.withColumn(EXTRACTION_COLUMN, F.lit(run_ts).cast("timestamp_ntz"))
 

@@ -18,7 +18,9 @@ values. The reader therefore works in two Spark passes:
 Validation: a file whose normalised header lacks a required column, or names one
 twice, is rejected before any row is read. Corrupt rows (ragged, or text with
 replacement characters from invalid UTF-8) fail their whole file by default,
-like the source loader; ``on_corrupt='quarantine'`` keeps the rest of the file.
+like the source loader; ``on_corrupt='quarantine'`` keeps the rest of the file;
+``on_corrupt='flag'`` returns every row with a ``_corrupt`` column, so a caller that
+materialises the parse once can apply the file policy without parsing again.
 """
 
 from __future__ import annotations
@@ -156,17 +158,22 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
             base = base.where(~F.col("_corrupt"))
         sel = [F.col(f"_f{norm.index(c)}").alias(c) for c in wanted if c in norm]
         sel += [F.lit(None).cast("string").alias(c) for c in wanted if c not in norm]
-        goods.append(base.select("path", *file_cols(F.col("path")), "block_start", "row_pos", *sel))
+        flag = [F.col("_corrupt")] if on_corrupt == "flag" else []
+        goods.append(base.select("path", *file_cols(F.col("path")), "block_start", "row_pos", *sel,
+                                 *flag))
 
     rej_schema = "path string, reason string"
     rejected_df = spark.createDataFrame(rejected, rej_schema)
     if not goods:
-        return LogRead(spark.createDataFrame([], _empty_schema(wanted)), rejected_df,
+        extra = ", _corrupt boolean" if on_corrupt == "flag" else ""
+        return LogRead(spark.createDataFrame([], _empty_schema(wanted) + extra), rejected_df,
                        spark.createDataFrame([], "path string, row_pos bigint, raw string"))
     rows, corrupt = goods[0], corrupts[0]
     for g, c in zip(goods[1:], corrupts[1:]):
         rows, corrupt = rows.unionByName(g), corrupt.unionByName(c)
 
+    if on_corrupt == "flag":  # rows keep a `_corrupt` column; the caller applies a policy
+        return LogRead(rows, rejected_df, corrupt)
     if on_corrupt == "raise":
         if corrupt.limit(1).count():
             raise ValueError("corrupt rows found; see LogRead.corrupt")
