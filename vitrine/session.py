@@ -40,11 +40,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     Only when the session names none (local tests) do we set one ourselves.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+            base = spark.sparkContext.getCheckpointDir() or base
+        except Exception:  # noqa: BLE001
+            spark.conf.set("spark.checkpoint.dir", base)
     base = base.rstrip("/")
     return "/".join([base, *parts]) if parts else base
 
@@ -68,5 +76,9 @@ def spread(df, min_partitions: int | None = None):
     before the first shuffle would run on one core. Large inputs already have many
     splits; for them this is a no-op and costs nothing.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
