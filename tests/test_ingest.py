@@ -128,3 +128,22 @@ def test_recover_replays_interrupted_overwrite(spark, tmp):
     after = _table(job)
     assert len(after) == len(before) and [r[5] for r in after] == [42.0]
     assert job.recover() == []
+
+
+def test_equal_size_rewrite_needs_mtime(spark, tmp):
+    import time
+    src = os.path.join(tmp, "src")
+    write_hourly(src, "2024-01-05", 8, [row(time="08:00:01", lite="7", cap="7", measure="1")])
+    plain = _job(spark, os.path.join(tmp, "a"))
+    plain.cfg.source_root = src
+    strict = _job(spark, os.path.join(tmp, "b"), compare_mtime=True)
+    strict.cfg.source_root = src
+    plain.run(RUN)
+    strict.run(RUN)
+    time.sleep(1.2)
+    # same length, different value: the size watermark alone cannot see it
+    write_hourly(src, "2024-01-05", 8, [row(time="08:00:01", lite="7", cap="7", measure="2")])
+    assert plain.run(RUN)["status"] == "no_changes"
+    assert strict.run(RUN)["status"] == "success"
+    assert [r[5] for r in _table(strict)] == [2.0]
+    assert [r[5] for r in _table(plain)] == [1.0]

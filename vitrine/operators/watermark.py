@@ -19,25 +19,34 @@ ACTION_RECREATED = "recreated"
 
 
 def current_watermark(log: DataFrame) -> DataFrame:
-    """Latest committed size per file_key (one row per file)."""
-    return log.groupBy("file_key").agg(
-        F.max_by("size", F.struct("committed_at", "batch_id")).alias("size"))
+    """Latest committed size (and modification time) per file_key (one row per file)."""
+    last = F.max_by(F.struct("size", "modified"), F.struct("committed_at", "batch_id"))
+    return log.groupBy("file_key").agg(last.alias("_w")) \
+        .select("file_key", "_w.size", "_w.modified")
 
 
-def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bool = True
-                 ) -> DataFrame:
+def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bool = True,
+                 compare_mtime: bool = False) -> DataFrame:
     """files (file_key, size, ...) x watermark (file_key, size) -> action per file.
 
     A file without a watermark has previous size 0. Equal size -> unchanged, larger ->
-    updated (appended), smaller -> recreated. The watermark holds one small row per
-    file key of the selected hours, so broadcasting it is bounded by the selection.
+    updated (appended), smaller -> recreated. With ``compare_mtime`` an equal-size file
+    with a newer modification time counts as updated (a rewrite the size alone misses).
+    The watermark holds one small row per file key of the selected days, so
+    broadcasting it is bounded by the selection.
     """
-    wm = watermark.select("file_key", F.col("size").alias("prev_size"))
+    cols = [F.col("size").alias("prev_size")]
+    if compare_mtime:
+        cols.append(F.col("modified").alias("prev_modified"))
+    wm = watermark.select("file_key", *cols)
     if broadcast_watermark:
         wm = F.broadcast(wm)
     j = files.join(wm, "file_key", "left") \
         .withColumn("prev_size", F.coalesce("prev_size", F.lit(0)).cast("bigint"))
-    action = F.when(F.col("size") == F.col("prev_size"), F.lit(ACTION_UNCHANGED)) \
+    same = F.col("size") == F.col("prev_size")
+    if compare_mtime:
+        same = same & F.coalesce(F.col("modified") <= F.col("prev_modified"), F.lit(False))
+    action = F.when(same, F.lit(ACTION_UNCHANGED)) \
         .when(F.col("size") > F.col("prev_size"), F.lit(ACTION_UPDATED)) \
         .otherwise(F.lit(ACTION_RECREATED))
     return j.withColumn("action", action)
@@ -47,6 +56,7 @@ def watermark_entries(processed: DataFrame, batch_id: str, committed_at) -> Data
     """Rows to append once a batch is fully stored (commit last). ``file_date`` is the
     partition column of the log, so a run reads only the days of the files it selects."""
     return processed.select("file_key", F.col("size").cast("bigint").alias("size"),
+                            F.col("modified").cast("timestamp").alias("modified"),
                             F.lit(batch_id).alias("batch_id"),
                             F.lit(committed_at).cast("timestamp_ntz").alias("committed_at"),
                             F.col("file_date").cast("date").alias("file_date"))

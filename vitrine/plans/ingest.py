@@ -46,6 +46,7 @@ class IngestConfig:
     zero_id_rule: bool = False
     on_corrupt: str = "fail_file"
     window_minutes: int = TRANSITION_WINDOW_MINUTES
+    compare_mtime: bool = False           # also re-read equal-size files that were rewritten
     keys: tuple[str, ...] = field(default=CUT2_MERGE_KEYS)
 
 
@@ -67,7 +68,7 @@ class IngestJob:
     def watermark(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """Current size per file; with a date range only those day partitions are read."""
         if not path_exists(self.spark, self.watermark_path):
-            return self.spark.createDataFrame([], "file_key string, size bigint")
+            return self.spark.createDataFrame([], "file_key string, size bigint, modified timestamp")
         log = self.spark.read.parquet(self.watermark_path)
         if start is not None:
             log = log.where(F.col("file_date").between(F.lit(start).cast("date"),
@@ -103,7 +104,8 @@ class IngestJob:
             sel = sel.withColumn("load_order", F.unix_timestamp(F.col("file_hour").cast("timestamp")))
         else:
             sel = select_ingest_files(listing, run_ts, self.cfg.window_minutes)
-        return file_changes(sel, wm).where(F.col("action") != "unchanged")
+        return file_changes(sel, wm, compare_mtime=self.cfg.compare_mtime) \
+            .where(F.col("action") != "unchanged")
 
     # -- run -------------------------------------------------------------------------
     def run(self, run_ts: str | None = None, start: str | None = None, end: str | None = None,
@@ -113,13 +115,15 @@ class IngestJob:
         batch_id = uuid.uuid4().hex
         extraction_ts = extraction_ts or _now()
         todo = self.changed_files(run_ts, start, end) \
-            .select("path", "file_key", "file_date", "size", "prev_size", "action", "load_order") \
+            .select("path", "file_key", "file_date", "size", "modified", "prev_size", "action",
+                    "load_order") \
             .collect()
         if not todo:
             return {"batch_id": batch_id, "files": 0, "rows": 0, "status": "no_changes"}
         files = spark.createDataFrame([r.asDict() for r in todo],
                                       "path string, file_key string, file_date date, size bigint, "
-                                      "prev_size bigint, action string, load_order bigint")
+                                      "modified timestamp, prev_size bigint, action string, "
+                                      "load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
                         kind="hourly", on_corrupt="flag",
                         sizes={r["path"]: r["size"] for r in todo})
