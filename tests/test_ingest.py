@@ -147,3 +147,19 @@ def test_equal_size_rewrite_needs_mtime(spark, tmp):
     assert strict.run(RUN)["status"] == "success"
     assert [r[5] for r in _table(strict)] == [2.0]
     assert [r[5] for r in _table(plain)] == [1.0]
+
+
+def test_compact_state_keeps_watermark(spark, tmp):
+    import glob
+    src = os.path.join(tmp, "src")
+    job = _job(spark, tmp)
+    for n in range(1, 4):  # the file grows three times: three watermark entries
+        write_hourly(src, "2024-01-05", 8, [row(time=f"08:00:0{i}", lite="7", cap="7") for i in range(n)])
+        job.run(RUN)
+    before = {r["file_key"]: r["size"] for r in job.watermark().collect()}
+    files = lambda: len(glob.glob(os.path.join(job.watermark_path, "file_date=*", "*.parquet")))
+    assert files() >= 3
+    out = job.compact_state("2024-01-06")
+    assert out["watermark"] == 3 and files() == 1
+    assert {r["file_key"]: r["size"] for r in job.watermark().collect()} == before
+    assert job.recover() == []

@@ -88,6 +88,19 @@ class IngestJob:
             done.append(batch_id)
         return done
 
+    def compact_state(self, before: str | dt.date) -> dict:
+        """One file per closed day in the watermark log and the journal (days < before).
+        Run it when no ingest is running (e.g. daily); files of a day can still grow
+        during the first minutes of the next day, so ``before`` should be at most
+        yesterday."""
+        before = F.lit(str(before)).cast("date")
+        out = {}
+        for name, path, col in (("watermark", self.watermark_path, "file_date"),
+                                ("journal", self.journal.path, "day")):
+            if path_exists(self.spark, path):
+                out[name] = LakeTable(self.spark, path, (col,)).compact(F.col(col) < before)
+        return out
+
     # -- selection -----------------------------------------------------------------
     def changed_files(self, run_ts: str | None = None, start: str | None = None,
                       end: str | None = None) -> DataFrame:

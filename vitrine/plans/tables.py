@@ -113,6 +113,20 @@ class LakeTable:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
+    def compact(self, where, staging: str | None = None) -> int:
+        """Rewrite the partitions selected by ``where`` (a predicate on partition columns)
+        as one file per partition, through a staging copy. For closed partitions of
+        append-only logs, which collect one small file per batch. Returns rows rewritten."""
+        part = self.read().where(where)
+        n = part.count()
+        if n == 0:
+            return 0
+        staging = staging or shared_dir(self.spark, "staging", f"compact_{uuid.uuid4().hex}")
+        part.repartition(*self.partition_cols).write.mode("overwrite") \
+            .partitionBy(*self.partition_cols).parquet(staging)
+        self.overwrite_from(staging)
+        return n
+
     def drop_days(self, days: list[dt.date], day_col: str = "event_date") -> list[dt.date]:
         """Remove whole day partitions (retention). Returns the days removed."""
         gone = []
