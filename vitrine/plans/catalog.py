@@ -52,7 +52,8 @@ G_TIME = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    return spread(df, by=df.columns[0])  # every driver table starts with its id column
 
 
 # ---------------------------------------------------------------------------

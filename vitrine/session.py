@@ -68,9 +68,11 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin the rows over at least ``min_partitions`` tasks (default: the
-    session's parallelism) when the scan yields fewer splits than that.
+def spread(df, min_partitions: int | None = None, by: str | None = None):
+    """Spread the rows over at least ``min_partitions`` tasks (default: the session's
+    parallelism) when the scan yields fewer splits than that: hashed on ``by`` (an id
+    column; no sort needed) or round-robin (which sorts rows first to stay
+    deterministic on retries).
 
     A file with one Parquet row group is read by one task, so all per-row parsing
     before the first shuffle would run on one core. Large inputs already have many
@@ -81,4 +83,6 @@ def spread(df, min_partitions: int | None = None):
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    return df.repartition(want, by) if by else df.repartition(want)
