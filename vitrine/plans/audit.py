@@ -12,6 +12,7 @@ returned. The run fails after storing when any line is not ``ok``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from vitrine.operators import reconcile as rc
 from vitrine.plans import transform as tf
 from vitrine.plans.tables import LakeTable
+from vitrine.session import shared_dir
 from vitrine.sources.listing import (list_hourly_logs, list_plate_logs,
                                      select_hourly_audit_files, select_plate_audit_files)
 from vitrine.sources.logscan import read_log
@@ -102,7 +104,11 @@ class AuditJob:
                                          "no_log_note string")
         res = rc.audit_results(lk, tr, labels, expected) \
             .withColumn("audited_at", F.current_timestamp().cast("timestamp_ntz"))
-        self.results.merge(res, ["line", "audited_date"])
+        # Materialise once (one row per line and day): the merge reads its input several
+        # times (touched days, count, rows) and must not re-run the audit for each.
+        path = shared_dir(spark, "staging", f"audit_{uuid.uuid4().hex}")
+        res.write.mode("overwrite").parquet(path)
+        self.results.merge(spark.read.parquet(path), ["line", "audited_date"])
         stored = self.results.read_days(start, end, day_col="audited_date")
         exp = rc.expected_lines(_days(spark, start, end), [ln.spec.name for ln in self.lines])
         summary = rc.audit_summary(stored, exp)
