@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm.byte_bpe import op2_byte_bpe
+from vitrine.llm.simhash import op7_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLE: dict[str, str] = {}
