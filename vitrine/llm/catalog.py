@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm.byte_bpe import op2_byte_bpe
 from vitrine.llm.simhash import op7_simhash
+from vitrine.llm.substring_dedup import op6_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
 }
 
