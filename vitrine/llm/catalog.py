@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm.byte_bpe import op2_byte_bpe
+from vitrine.llm.embedding_dedup import op8_embedding_dedup
+from vitrine.llm.packing import op5_packing
 from vitrine.llm.simhash import op7_simhash
 from vitrine.llm.substring_dedup import op6_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_packing": op5_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
+    "op8_embedding_dedup": op8_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {}
