@@ -10,10 +10,12 @@ from vitrine.llm.byte_bpe import op2_byte_bpe
 from vitrine.llm.embedding_dedup import op8_embedding_dedup
 from vitrine.llm.language_id import op4_language_id
 from vitrine.llm.packing import op5_packing
+from vitrine.llm.secret_scan import op1_secret_scan
 from vitrine.llm.simhash import op7_simhash
 from vitrine.llm.substring_dedup import op6_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
