@@ -5,9 +5,12 @@
    per document: equal windows have equal minimizers, so the count of a window's key is never
    below the number of documents that hold the window, and neighbouring windows share one key.
    Partition sketches are merged cell by cell into saturating counters.
-2. A second pass keeps only the windows whose every sketch row says "two or more" and groups
-   exactly those by their hashes: the smallest doc_id that starts each window, joined back to
-   the windows of larger ids. A window the sketch overestimates just forms a group of one.
+2. A second pass keeps only the windows whose every sketch row says "two or more", as runs of
+   neighbouring windows. Equal runs (copies, shared passages) are grouped first: every holder
+   but the one with the smallest doc_id loses the run. One holder of each distinct run then
+   sends its windows, which are grouped exactly by their hashes: the smallest doc_id of each
+   window, joined back to the runs of larger ids. A window that the sketch overestimates just
+   forms a group of one.
 3. Documents meet their covered positions and lose the words there.
 
 The sketch has a fixed size chosen from the input's size (``MAX_CELLS`` at most, 1 bit per cell
@@ -33,8 +36,10 @@ from vitrine.llm.common import slices, table, written
 
 WINDOW = 50
 #: Words of the runs among which a window's minimizer is chosen.
-RUN = 25
+RUN = 38
 DEPTH = 2
+#: Windows in one run row; longer runs are cut at multiples of it from their start.
+RUN_WINDOWS = 4096
 MIN_CELLS, MAX_CELLS = 1 << 18, 1 << 28
 #: Cells of one row that are merged together; also the unit of the broadcast.
 CHUNK = 1 << 16
@@ -94,12 +99,14 @@ def split_words(text: str | None) -> list[bytes]:
 
 
 def slice_windows(words: list[list[bytes]], window: int, run: int):
-    """(document index, start, window hash, minimizer) of all windows of a slice of documents."""
+    """(document index, start, window hash, minimizer, place) of all windows of a slice of
+    documents, and a function from places and ends to the hash of the words between them."""
     size = np.array([len(w) for w in words], np.int64)
     total = int(size.sum())
     if not total or size.max() < window:
         z = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), z, z
+        none = np.zeros(0, np.int64)
+        return (none, none, z, z, none), None
     h = np.fromiter((x for w in words for x in map(_HASHES.__getitem__, w)), np.uint64, total)
     power, inverse = _powers(total + 1)
     prefix = np.zeros(total + 1, np.uint64)
@@ -110,7 +117,7 @@ def slice_windows(words: list[list[bytes]], window: int, run: int):
     doc = np.repeat(np.arange(len(words)), size)
     start = np.arange(total) - first[doc]
     ok = np.flatnonzero(start[:len(whole)] + window <= size[doc[:len(whole)]])
-    return doc[ok], start[ok], whole[ok], least[ok]
+    return (doc[ok], start[ok], whole[ok], least[ok], ok), lambda a, b: _mixed((prefix[b] - prefix[a]) * inverse[a])
 
 
 def _cells(keys: np.ndarray, row: int, cells: int) -> np.ndarray:
@@ -132,7 +139,7 @@ def window_sketch(src: DataFrame, cells: int, window: int, run: int, depth: int)
     def count(batches):
         held: list[np.ndarray] = []
         for b in slices(batches, "text"):
-            doc, _, _, key = slice_windows([split_words(x) for x in b.column("text").to_pylist()], window, run)
+            (doc, _, _, key, _), _ = slice_windows([split_words(x) for x in b.column("text").to_pylist()], window, run)
             if not len(key):
                 continue
             # once per document: neighbours mostly share a key, so drop runs, then sort per document
@@ -184,25 +191,40 @@ def window_sketch(src: DataFrame, cells: int, window: int, run: int, depth: int)
             .repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "chunk long, bits binary"))
 
 
-def candidate_windows(src: DataFrame, cells: int, bits, window: int, run: int, depth: int) -> DataFrame:
-    """(h, key, rid, doc_id, pos) of the windows that every sketch row calls repeated."""
+RUNS = "rh long, h0 long, n int, rid long, doc_id long, start int, h array<long>, key array<long>"
+
+
+def candidate_runs(src: DataFrame, cells: int, bits, window: int, run: int, depth: int) -> DataFrame:
+    """Runs of neighbouring windows that every sketch row calls repeated: hash of the run's
+    words, of its first window, number of windows, place, and the windows' hashes."""
     per_row = cells // CHUNK
 
     def pick(batches):
         table_bits = np.frombuffer(bits.value, np.uint8)
         for b in slices(batches, "text"):
-            doc, pos, whole, key = slice_windows([split_words(x) for x in b.column("text").to_pylist()], window, run)
+            (doc, pos, whole, key, place), between = slice_windows(
+                [split_words(x) for x in b.column("text").to_pylist()], window, run)
             keep = np.ones(len(key), bool)
             for row in range(depth):
                 at = _cells(key, row, cells).astype(np.int64) + row * per_row * CHUNK
                 keep &= (table_bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-            at = pa.array(doc[keep])
+            doc, pos, whole, key, place = (x[keep] for x in (doc, pos, whole, key, place))
+            if not len(doc):
+                continue
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)]
+            head = np.flatnonzero(new)[np.cumsum(new) - 1]
+            first = np.flatnonzero((np.arange(len(doc)) - head) % RUN_WINDOWS == 0)
+            ends = np.r_[first[1:], len(doc)]
+            offsets = pa.array(np.r_[first, len(doc)].astype(np.int32))
+            at = pa.array(doc[first])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole[keep].view(np.int64)), pa.array(key[keep].view(np.int64)),
-                 b.column("rid").take(at), b.column("doc_id").take(at), pa.array(pos[keep].astype(np.int32))],
-                names=["h", "key", "rid", "doc_id", "pos"])
+                [pa.array(between(place[first], place[ends - 1] + window).view(np.int64)), pa.array(whole[first].view(np.int64)),
+                 pa.array((ends - first).astype(np.int32)), b.column("rid").take(at), b.column("doc_id").take(at),
+                 pa.array(pos[first].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(whole.view(np.int64))),
+                 pa.ListArray.from_arrays(offsets, pa.array(key.view(np.int64)))],
+                names=["rh", "h0", "n", "rid", "doc_id", "start", "h", "key"])
 
-    return src.mapInArrow(pick, "h long, key long, rid long, doc_id long, pos int")
+    return src.mapInArrow(pick, RUNS)
 
 
 def row_key(text: Column) -> Column:
@@ -211,7 +233,7 @@ def row_key(text: Column) -> Column:
 
 
 def covered_starts(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, rid, starts array<int>): where windows start that a smaller doc_id also holds.
+    """(doc_id, rid, starts): where windows start that a smaller doc_id also holds.
     ``docs``: doc_id, text, rid."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -222,20 +244,38 @@ def covered_starts(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
         dense[r["chunk"] * CHUNK // 8:(r["chunk"] + 1) * CHUNK // 8] = r["bits"]
     assert len(dense) == depth * per_row * CHUNK // 8
     bits = spark.sparkContext.broadcast(bytes(dense))  # at most DEPTH * MAX_CELLS / 8 bytes
-    found = written(candidate_windows(docs, cells, bits, window, run, depth), "repeated-windows")
-    least = (found.groupBy("h", "key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
-                                           F.count("doc_id").alias("known"), F.count(F.lit(1)).alias("n"))
-             .where("least < most or known between 1 and n - 1").select("h", "key", "least"))
-    return (found.join(least, ["h", "key"]).where("doc_id > least or doc_id is null")
-            .groupBy("doc_id", "rid").agg(F.collect_set("pos").alias("starts")))
-
-
-def kept_mask(n: int, starts, window: int) -> np.ndarray:
-    """Which of n words no covered window reaches."""
+    runs = written(candidate_runs(docs, cells, bits, window, run, depth), "repeated-runs")
+    name = ["rh", "h0", "n"]
+    # each distinct run, with the smallest doc_id that holds it (null if it has none)
+    holders = runs.groupBy(*name).agg(F.min("doc_id").alias("least"))
+    distinct = runs.groupBy(*name).agg(F.min("doc_id").alias("least"), F.first("h").alias("h"), F.first("key").alias("key"))
+    windows = (distinct.select(*name, "least", F.posexplode(F.arrays_zip("h", "key")).alias("at", "w"))
+               .select(*name, "least", "at", "w.h", "w.key"))
+    starts = (windows.groupBy("h", "key").agg(F.min("least").alias("first_id"), F.count(F.lit(1)).alias("k"))
+              .where("k > 1").select("h", "key", "first_id"))
+    covered = (windows.join(starts, ["h", "key"]).where("first_id < least or (least is null and first_id is not null)")
+               .groupBy(*name).agg(F.collect_set("at").alias("covered")))
+    # a holder of the smallest id loses the covered windows, any other holder the whole run
+    places = runs.select(*name, "rid", "doc_id", "start")
+    lost = (places.join(holders, name).join(covered, name, "left")
+            .withColumn("whole", F.expr("not (doc_id <=> least)")).where("whole or covered is not null"))
+    return lost.groupBy("doc_id", "rid").agg(F.collect_list(F.struct(
+        "start", F.when(F.col("whole"), F.col("n")).otherwise(0).alias("n"),
+        F.when(~F.col("whole"), F.col("covered")).alias("covered"))).alias("starts"))
+
+
+def kept_mask(n: int, lost: list[dict], window: int) -> np.ndarray:
+    """Which of n words no covered window reaches. ``lost``: whole runs (start, n windows) or
+    covered windows relative to a start."""
     edge = np.zeros(n + 1, np.int64)
-    at = np.asarray(starts, np.int64)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + window, -1)
+    for x in lost:
+        if x["n"]:
+            edge[x["start"]] += 1
+            edge[x["start"] + x["n"] - 1 + window] -= 1
+        else:
+            at = np.array(x["covered"], np.int64) + x["start"]
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + window, -1)
     return np.cumsum(edge[:n]) == 0
 
 
