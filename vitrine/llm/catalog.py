@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm.byte_bpe import op2_byte_bpe
 from vitrine.llm.embedding_dedup import op8_embedding_dedup
+from vitrine.llm.html_extract import op9_html_extract
 from vitrine.llm.language_id import op4_language_id
 from vitrine.llm.packing import op5_packing
 from vitrine.llm.secret_scan import op1_secret_scan
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_html_extract": op9_html_extract,
 }
 
 ORACLE: dict[str, str] = {}
