@@ -40,6 +40,8 @@ RUN = 38
 DEPTH = 2
 #: Windows in one run row; longer runs are cut at multiples of it from their start.
 RUN_WINDOWS = 4096
+#: Cells of the bitmap of documents that lose words (a fixed 4 MB).
+LOST_CELLS = 1 << 25
 MIN_CELLS, MAX_CELLS = 1 << 18, 1 << 28
 #: Cells of one row that are merged together; also the unit of the broadcast.
 CHUNK = 1 << 16
@@ -285,10 +287,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
     space; a document that loses nothing keeps its text as it was (``kept`` null if null)."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("rid", row_key(F.col("text")))
-    starts = covered_starts(src, window, run, depth)
-    named = starts.select(F.col("doc_id").alias("s_id"), F.col("rid").alias("s_rid"), "starts")
-    both = src.join(named.hint("shuffle_hash"),
-                    F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left")
+    lost = written(covered_starts(src, window, run, depth), "lost-windows")
+    src = src.withColumn("cell", F.xxhash64("doc_id", "rid").bitwiseAND(F.lit(LOST_CELLS - 1)))
+    bits = src.sparkSession.sparkContext.broadcast(lost_cells(lost))  # LOST_CELLS / 8 bytes
+
+    def meets(b):
+        cell = b.column("cell").to_numpy()
+        return (np.frombuffer(bits.value, np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+    def untouched(batches):
+        for b in batches:
+            for s in slices([b.filter(pa.array(~meets(b)))], "text"):
+                n = [len(split_words(x)) for x in s.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [s.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64)), s.column("text").cast(pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept"])
+
+    def suspects(batches):
+        for b in batches:
+            yield b.filter(pa.array(meets(b))).select(["doc_id", "rid", "text"])
 
     def clean(batches):
         for b in slices(batches, "text"):
@@ -306,7 +323,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
                                               pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return both.select("doc_id", "text", "starts").mapInArrow(clean, "doc_id long, n_words long, n_removed long, kept string")
+    shape = "doc_id long, n_words long, n_removed long, kept string"
+    named = lost.select(F.col("doc_id").alias("s_id"), F.col("rid").alias("s_rid"), "starts")
+    both = src.mapInArrow(suspects, "doc_id long, rid long, text string").join(
+        named.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left")
+    return src.mapInArrow(untouched, shape).unionByName(both.select("doc_id", "text", "starts").mapInArrow(clean, shape))
+
+
+def lost_cells(lost: DataFrame) -> bytes:
+    """One bit per hash cell of the documents that lose words: documents in other cells need
+    not be shuffled to learn that they keep everything."""
+    cell = F.xxhash64("doc_id", "rid").bitwiseAND(F.lit(LOST_CELLS - 1))
+    part = 1 << 15  # bits of one bitmap value
+    dense = bytearray(LOST_CELLS // 8)
+    for r in (lost.select((cell / F.lit(part)).cast("long").alias("part"), (cell % F.lit(part)).alias("bit"))
+              .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator()):
+        dense[r["part"] * part // 8:(r["part"] + 1) * part // 8] = r["bits"]
+    return bytes(dense)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
