@@ -14,6 +14,7 @@ from vitrine.llm.packing import op5_packing
 from vitrine.llm.secret_scan import op1_secret_scan
 from vitrine.llm.simhash import op7_simhash
 from vitrine.llm.substring_dedup import op6_substring_dedup
+from vitrine.llm import topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
@@ -24,9 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_html_extract": op9_html_extract,
+    "op10_topk_search": topk_search.op10_topk_search,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_topk_search": topk_search.ORACLE_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
