@@ -10,6 +10,7 @@ from vitrine.llm.byte_bpe import op2_byte_bpe
 from vitrine.llm.embedding_dedup import op8_embedding_dedup
 from vitrine.llm.html_extract import op9_html_extract
 from vitrine.llm.language_id import op4_language_id
+from vitrine.llm.lm_score import op3_lm_score
 from vitrine.llm.packing import op5_packing
 from vitrine.llm.secret_scan import op1_secret_scan
 from vitrine.llm.simhash import op7_simhash
@@ -19,6 +20,7 @@ from vitrine.llm import topk_search
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_lm_score": op3_lm_score,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op6_substring_dedup": op6_substring_dedup,
