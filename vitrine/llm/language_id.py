@@ -179,8 +179,11 @@ def infer(texts: list, model: LanguageModel, rounds: int = ROUNDS, penalty: floa
     return out
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, mix) of every row; ``mix``: proportions of the language set."""
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
+             carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, lang_pred, score, mix) of every row; ``mix``: proportions of the language set.
+    With ``carry`` those columns of the document follow in the struct ``rest``."""
+    rest = F.struct(*carry) if carry else F.lit(None).cast("int")
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs.tobytes()))
 
     def run(batches):
@@ -195,10 +198,12 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             mix = [[(langs[k], float(x[k])) for k in np.flatnonzero(x > 0)] for x in share]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(mix, pa.map_(pa.string(), pa.float64()))], names=["doc_id", "lang_pred", "score", "mix"])
+                 pa.array(mix, pa.map_(pa.string(), pa.float64())), b.column("rest")], names=["doc_id", "lang_pred", "score", "mix", "rest"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, lang_pred string, score double, mix map<string,double>")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
+    kind = src.schema["rest"].dataType.simpleString()
+    out = src.mapInArrow(run, f"doc_id long, lang_pred string, score double, mix map<string,double>, rest {kind}")
+    return out if carry else out.drop("rest")
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:

@@ -178,15 +178,27 @@ def scan(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: st
     """(doc_id, text, base, spans) of every row; base and spans: array<struct<start, kind, end>>
     with kind an index of KINDS, in listing order. ``text`` is as it came."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    edges = thresholds(src, fdr)
-    text = F.coalesce("text", F.lit(""))
+    return with_spans(src, F.col("text"), thresholds(src, fdr))
+
+
+def with_spans(rows: DataFrame, text: Column, edges: list[float]) -> DataFrame:
+    """``rows`` with the columns base and spans of the text, given the battery's thresholds."""
+    text = F.coalesce(text, F.lit(""))
     kind = "array<struct<start:bigint,kind:int,end:bigint>>"
-    base = base_spans(text).cast(kind)
+    rows = rows.withColumns({"base": base_spans(text).cast(kind), "judged": candidates(text)})
     limit = F.array(*[F.lit(float(x)) for x in edges])
-    rows = src.withColumn("base", base).withColumn("extra", candidates(text))
-    random = F.filter("extra", lambda c: (c["p"] <= F.element_at(limit, c["stratum"] + 1)) & ~F.exists(
+    random = F.filter("judged", lambda c: (c["p"] <= F.element_at(limit, c["stratum"] + 1)) & ~F.exists(
         F.col("base"), lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
-    return rows.select("doc_id", "text", "base", F.array_sort(F.concat("base", _as_kind(random, 3).cast(kind))).alias("spans"))
+    return rows.withColumn("spans", F.array_sort(F.concat("base", _as_kind(random, 3).cast(kind)))).drop("judged")
+
+
+def redact(docs: DataFrame, fdr: float = FDR, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` (all columns, whatever their names) with every found span of the text replaced."""
+    edges = thresholds(docs.select(F.col(text_col).cast("string").alias("text")), fdr)
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).cast("string").alias("text"))
+    clean = redacted(F.col("text"), F.col("spans"), mark)
+    return with_spans(held, F.col("text"), edges).select(
+        *[clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def listed(spans: Column) -> Column:

@@ -60,14 +60,14 @@ def fingerprint_slice(texts: list, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, rid, fp) of every row; rid tells rows that share a doc_id apart by their text."""
     def run(batches):
         for b in slices(batches, "text"):
             fp = fingerprint_slice(b.column("text").to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("rid"), pa.array(fp.view(np.int64))], names=["doc_id", "rid", "fp"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    return src.withColumn("rid", F.xxhash64("text")).mapInArrow(run, "doc_id long, rid long, fp long")
 
 
 class HammingAnchors:
@@ -176,8 +176,8 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 2, order: int = 5) ->
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2, order: int = 5,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint hex, component_id) of every row: the smallest doc_id reachable over
-    links between fingerprints that differ in at most ``max_bits`` bits."""
+    """(doc_id, fingerprint hex, component_id, rid) of every row: the smallest doc_id reachable
+    over links between fingerprints that differ in at most ``max_bits`` bits."""
     rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     groups = connected_components(fingerprint_links(distinct, max_bits, order), "simhash-components")
@@ -186,7 +186,19 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2, order:
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "rid")
+
+
+def one_of_each_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay: of each group the row with its component's
+    id, once if that id is repeated. Groups without any id stay whole: nothing names them."""
+    stay = (groups.where("doc_id <=> component_id").groupBy("component_id", "rid").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("rid")).alias("of"))
+            .agg(F.min("rid").alias("k_rid"), F.sum("n").alias("k_n")).select(F.col("component_id").alias("k_id"), "k_rid", "k_n"))
+    named = docs.withColumn("k_text", F.xxhash64(F.col(text_col).cast("string")))
+    kept = named.join(stay.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_rid")))
+    alone = F.col("k_id").isNull() | (F.col("k_n") == 1)
+    return kept.where(alone).unionByName(kept.where(~alone).dropDuplicates(["k_id"])).select(*docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

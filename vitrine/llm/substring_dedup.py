@@ -42,6 +42,7 @@ DEPTH = 2
 RUN_WINDOWS = 4096
 #: Cells of the bitmap of documents that lose words (a fixed 4 MB).
 LOST_CELLS = 1 << 25
+CLEANED = ["doc_id", "n_words", "n_removed", "kept", "rest"]
 MIN_CELLS, MAX_CELLS = 1 << 18, 1 << 28
 #: Cells of one row that are merged together; also the unit of the broadcast.
 CHUNK = 1 << 16
@@ -282,12 +283,15 @@ def kept_mask(n: int, lost: list[dict], window: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth: int = DEPTH,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the kept words of every document, joined by one
-    space; a document that loses nothing keeps its text as it was (``kept`` null if null)."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    space; a document that loses nothing keeps its text as it was (``kept`` null if null).
+    With ``carry`` those columns of the document follow in the struct ``rest``."""
+    rest = F.struct(*carry) if carry else F.lit(None).cast("int")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
+    kind = src.schema["rest"].dataType.simpleString()
     src = src.withColumn("rid", row_key(F.col("text")))
-    lost = written(covered_starts(src, window, run, depth), "lost-windows")
+    lost = written(covered_starts(src.drop("rest"), window, run, depth), "lost-windows")
     src = src.withColumn("cell", F.xxhash64("doc_id", "rid").bitwiseAND(F.lit(LOST_CELLS - 1)))
     bits = src.sparkSession.sparkContext.broadcast(lost_cells(lost))  # LOST_CELLS / 8 bytes
 
@@ -300,12 +304,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
             for s in slices([b.filter(pa.array(~meets(b)))], "text"):
                 n = [len(split_words(x)) for x in s.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64)), s.column("text").cast(pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept"])
+                    [s.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64)), s.column("text"), s.column("rest")],
+                    names=CLEANED)
 
     def suspects(batches):
         for b in batches:
-            yield b.filter(pa.array(meets(b))).select(["doc_id", "rid", "text"])
+            yield b.filter(pa.array(meets(b))).select(["doc_id", "rid", "text", "rest"])
 
     def clean(batches):
         for b in slices(batches, "text"):
@@ -321,13 +325,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
                     gone.append(0)
                 kept.append(text)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                                              pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+                                              pa.array(kept, pa.string()), b.column("rest")], names=CLEANED)
 
-    shape = "doc_id long, n_words long, n_removed long, kept string"
+    shape = f"doc_id long, n_words long, n_removed long, kept string, rest {kind}"
     named = lost.select(F.col("doc_id").alias("s_id"), F.col("rid").alias("s_rid"), "starts")
-    both = src.mapInArrow(suspects, "doc_id long, rid long, text string").join(
+    both = src.mapInArrow(suspects, f"doc_id long, rid long, text string, rest {kind}").join(
         named.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left")
-    return src.mapInArrow(untouched, shape).unionByName(both.select("doc_id", "text", "starts").mapInArrow(clean, shape))
+    out = src.mapInArrow(untouched, shape).unionByName(both.select("doc_id", "text", "starts", "rest").mapInArrow(clean, shape))
+    return out if carry else out.drop("rest")
 
 
 def lost_cells(lost: DataFrame) -> bytes:
