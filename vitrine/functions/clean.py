@@ -15,8 +15,8 @@ from vitrine.spec import (IDS_TEXT_LIMIT, INVALID_MARKERS, ROLLOVER_MODULUS,
                           TRUNCATION_SUFFIX)
 
 __all__ = [
-    "normalize_name", "normalize_names", "trimmed", "null_markers", "to_double", "to_bigint",
-    "to_category", "event_time", "log_time", "scan_position", "canonical_id", "time_of_day",
+    "normalize_name", "trimmed", "null_markers", "to_double", "to_bigint",
+    "to_category", "event_time", "log_time", "scan_position", "canonical_id", "audit_id", "time_of_day",
     "composite_key", "bounded_text", "py_list_text", "DOUBLE_TEXT", "BIGINT_TEXT",
 ]
 
@@ -39,10 +39,6 @@ def normalize_name(name: str) -> str:
     return re.sub(r"_+", "_", s).strip("_")
 
 
-def normalize_names(names) -> list[str]:
-    return [normalize_name(n) for n in names]
-
-
 def trimmed(col) -> Column:
     """Trim blanks; the empty text becomes NULL."""
     t = F.trim(_c(col))
@@ -83,15 +79,17 @@ def event_time(date_col, time_col) -> Column:
     return F.when(t.rlike(TIME_TEXT), s.try_cast("timestamp_ntz"))
 
 
-def log_time(col, date_col=None) -> Column:
-    """Audit-side time: strip any fraction, accept 'y/M/d H:m:s' or 'y-M-d H:m:s'.
+def log_time(col, date_col=None, date_sep: str = "/") -> Column:
+    """Audit-side time: strip any fraction; the date's parts are joined by the line's own
+    ``date_sep`` ('/': 'y/M/d H:m:s'), any other spelling is NULL.
 
     With ``date_col`` the text holds only the time of day and the date is prefixed.
     """
     t = F.substring_index(F.trim(_c(col)), ".", 1)
     if date_col is not None:
         t = F.concat_ws(" ", _c(date_col).cast("string"), t)
-    t = F.regexp_replace(t, "/", "-")
+    elif date_sep != "-":
+        t = F.when(~t.contains("-"), F.replace(t, F.lit(date_sep), F.lit("-")))
     return F.when(t.rlike(DATETIME_TEXT), t.try_cast("timestamp_ntz"))
 
 
@@ -110,6 +108,14 @@ def canonical_id(col) -> Column:
     return F.trim(F.substring_index(F.trim(_c(col)), ".", 1))
 
 
+def audit_id(col, typed: bool = True) -> Column:
+    """Canonical ID text of either side of the audit: decimals dropped, trimmed; with
+    ``typed`` an integer spelling prints as the integer ('007' and '+7' are '7') and any
+    other text stays as it is."""
+    t = canonical_id(_c(col).cast("string"))
+    return F.coalesce(to_bigint(t).cast("string"), t) if typed else t
+
+
 def time_of_day(col) -> Column:
     return F.date_format(_c(col), "HH:mm:ss")
 

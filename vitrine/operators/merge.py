@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from vitrine.operators.sequence import last_write_wins
 
-__all__ = ["upsert", "insert_ignore", "conform", "rows_per_file", "anti_join_keys"]
+__all__ = ["upsert", "insert_ignore", "conform", "anti_join_keys"]
 
 
 def anti_join_keys(left: DataFrame, right: DataFrame, keys, broadcast_right: bool = False
@@ -61,7 +61,3 @@ def conform(df: DataFrame, schema: T.StructType, extra=()) -> DataFrame:
     """Select and cast to the target schema, in target order (the staging step)."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     return df.select(*cols, *extra)
-
-
-def rows_per_file(df: DataFrame, file_col: str = "file_key") -> DataFrame:
-    return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"))

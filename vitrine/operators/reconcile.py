@@ -7,9 +7,10 @@ Inputs are two long DataFrames:
 Both sides are pre-aggregated to one row per (line, day, key) before the single full
 outer join, so the join is 1:1 whatever the duplication, and every per-day number is
 a partial aggregation (map-side combine). The ID samples and the ID text need only
-the first 20 / 2001 keys of a day in string order: ``row_number() <= k`` is planned
-with a partial WindowGroupLimit before the shuffle, so a day with millions of
-differing IDs never lands in one task as a whole.
+the first 20 / 2001 keys of a day in string order. The 2001 are ranked in two levels:
+first within one of ``RANK_SALTS`` hash shares of the day, then among the shares'
+survivors, so a day with millions of differing IDs never lands in one task as a whole,
+whatever limit the optimizer puts on ranks before a shuffle.
 
 Semantics kept from the source audit:
   * total_log counts distinct log keys, total_db counts table rows (NULL keys too);
@@ -28,8 +29,8 @@ from vitrine.spec import (IDS_TEXT_LIMIT, NOTE_LIMIT, NOTE_OK, SAMPLE_SIZE,
                           STATUS_EXCESS, STATUS_MISSING, STATUS_NO_LOG, STATUS_NO_RESULT,
                           STATUS_OK)
 
-__all__ = ["key_pairs", "missing_keys", "excess_keys", "except_keys", "reconcile_counts",
-           "classify", "ranked_keys", "audit_results", "audit_summary", "expected_lines",
+__all__ = ["key_pairs", "missing_keys", "excess_keys", "only_left", "except_keys", "reconcile_counts",
+           "classify", "first_ranks", "ranked_keys", "audit_results", "audit_results_of_pairs", "audit_summary", "expected_lines",
            "RESULT_COLUMNS"]
 
 DAY = ["line", "audited_date"]
@@ -37,6 +38,8 @@ RESULT_COLUMNS = ["line", "audited_date", "total_log", "total_db", "divergence",
                   "status", "note"]
 # A key is at least one character, so 2001 sorted keys always reach past 2000 characters.
 IDS_TEXT_RANKS = IDS_TEXT_LIMIT + 1
+# Shares of one (line, day, kind) that are ranked on their own first.
+RANK_SALTS = 64
 
 
 def key_pairs(log_keys: DataFrame, table_rows: DataFrame) -> DataFrame:
@@ -62,6 +65,14 @@ def excess_keys(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("in_log").isNull() & F.col("key").isNotNull()).select(*DAY, "key")
 
 
+def only_left(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct keys of ``left`` that ``right`` lacks: the one-sided form, an anti join of
+    pre-aggregated keys."""
+    a = left.select(*DAY, "key").where(F.col("key").isNotNull()).distinct()
+    b = right.select(*DAY, "key").where(F.col("key").isNotNull()).distinct()
+    return a.join(b, DAY + ["key"], "left_anti")
+
+
 def except_keys(log_keys: DataFrame, table_rows: DataFrame) -> DataFrame:
     """Set difference in EXCEPT form; must equal ``missing_keys``."""
     a = log_keys.select(*DAY, "key").where(F.col("key").isNotNull())
@@ -93,34 +104,47 @@ def classify(counts: DataFrame) -> DataFrame:
 
 def ranked_keys(keys: DataFrame, k: int) -> DataFrame:
     """First ``k`` keys per (line, day) in string order, as a sorted array."""
-    w = Window.partitionBy(*DAY).orderBy(F.col("key"))
-    top = keys.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    top = first_ranks(keys, DAY, k)
     return top.groupBy(*DAY).agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
 
+def first_ranks(keys: DataFrame, by: list[str], k: int) -> DataFrame:
+    """Rows whose key is among the first ``k`` of its group, with their rank ``_r``: ranked
+    within hash shares of the group, then among the (at most RANK_SALTS * k) survivors."""
+    salted = keys.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(RANK_SALTS)))
+    part = Window.partitionBy(*by, "_s").orderBy("key")
+    few = salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k).drop("_s", "_r")
+    whole = Window.partitionBy(*by).orderBy("key")
+    return few.withColumn("_r", F.row_number().over(whole)).where(F.col("_r") <= k)
+
+
 def audit_results(log_keys: DataFrame, table_rows: DataFrame, key_labels: DataFrame,
                   expected: DataFrame | None = None) -> DataFrame:
-    """The stored audit row per (line, day).
+    """The stored audit row per (line, day), from log keys and table rows."""
+    return audit_results_of_pairs(key_pairs(log_keys, table_rows), key_labels, expected)
+
+
+def audit_results_of_pairs(pairs: DataFrame, key_labels: DataFrame,
+                           expected: DataFrame | None = None) -> DataFrame:
+    """The stored audit row per (line, day), from ``key_pairs``.
 
     key_labels: (line, key_label) small per-line table used in notes.
     expected:   optional (line, audited_date, has_log) grid; lines/days without any log
                 file become ``no_log`` with 0/0 totals, as the source audit stores them.
     """
-    pairs = key_pairs(log_keys, table_rows)
     counts = classify(reconcile_counts(pairs))
     # Missing and extra keys ranked by one window, then folded into one row per day.
     diff = pairs.select(*DAY, "key", F.when(F.col("in_log") & F.col("n_db").isNull(), F.lit("m"))
                         .when(F.col("in_log").isNull() & F.col("key").isNotNull(), F.lit("x"))
                         .alias("kind")).where(F.col("kind").isNotNull())
-    w = Window.partitionBy(*DAY, "kind").orderBy("key")
-    ranked = diff.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= IDS_TEXT_RANKS)
+    ranked = first_ranks(diff, [*DAY, "kind"], IDS_TEXT_RANKS)
     lists = ranked.groupBy(*DAY).agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "m", F.col("key")))).alias("miss_keys"),
         F.array_sort(F.collect_list(F.when((F.col("kind") == "x") & (F.col("_r") <= SAMPLE_SIZE),
                                            F.col("key")))).alias("extra_sample"))
     lists = lists.select(*DAY, bounded_text(F.array_join("miss_keys", ",")).alias("ids_missing"),
                          F.slice("miss_keys", 1, SAMPLE_SIZE).alias("miss_sample"), "extra_sample")
-    r = counts.join(lists, DAY, "left").join(F.broadcast(key_labels), "line", "left")
+    r = counts.join(lists, DAY, "left").join(key_labels, "line", "left")
     empty = F.array().cast("array<string>")
     miss_list = py_list_text(F.coalesce("miss_sample", empty))
     extra_list = py_list_text(F.coalesce("extra_sample", empty))

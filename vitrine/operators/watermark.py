@@ -25,15 +25,14 @@ def current_watermark(log: DataFrame) -> DataFrame:
         .select("file_key", "_w.size", "_w.modified")
 
 
-def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bool = True,
+def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bool = False,
                  compare_mtime: bool = False) -> DataFrame:
     """files (file_key, size, ...) x watermark (file_key, size) -> action per file.
 
     A file without a watermark has previous size 0. Equal size -> unchanged, larger ->
     updated (appended), smaller -> recreated. With ``compare_mtime`` an equal-size file
     with a newer modification time counts as updated (a rewrite the size alone misses).
-    The watermark holds one small row per file key of the selected days, so
-    broadcasting it is bounded by the selection.
+    ``broadcast_watermark`` is for callers that have checked its size.
     """
     cols = [F.col("size").alias("prev_size")]
     if compare_mtime:

@@ -15,6 +15,7 @@ itself (orders vs shipments, and the optional zero-ID rule on the CUT2 load).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,10 @@ from vitrine.operators.merge import conform, insert_ignore, upsert
 from vitrine.operators.sequence import last_write_wins, with_event_seq
 from vitrine.operators.watermark import file_changes
 from vitrine.plans import transform as tf
-from vitrine.session import spread
-from vitrine.spec import (CUT2_SCHEMA, INVALID_MARKERS, KEY_LABEL_COMPOSITE, KEY_LABEL_PLATE,
+from vitrine.plans.archive import archive_quarter
+from vitrine.plans.tables import LakeTable
+from vitrine.session import fresh_dir
+from vitrine.spec import (CUT2_SCHEMA, KEY_LABEL_COMPOSITE, KEY_LABEL_PLATE,
                           NOTE_NO_LOG, NOTE_NO_LOG_CUT2)
 
 # Parameters of the catalog (dates are the feature being tested, not a sample).
@@ -45,15 +48,15 @@ STAGED_FROM = "1999-07-01"
 SPLIT_ROWS = 8  # rows per simulated file split of the events stand-in
 RUN_TS = "2024-02-01 00:00:00"
 
-MARKER_SQL = ", ".join(f"'{m}'" for m in INVALID_MARKERS)
+# The oracle's own copy of the fixed invalid markers.
+MARKER_SQL = "'-1.#J', '1.#J', 'NaN', '1.#QNAN', '-1.#IND', '-1.#INF', '1.#INF'"
 G_DOUBLE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 G_BIGINT = r"^[+-]?[0-9]+$"
 G_TIME = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-    return spread(df, by=df.columns[0])  # every driver table starts with its id column
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------------------
@@ -210,8 +213,10 @@ def q_composite_key(spark, d):
     ev = _t(spark, d, "events").select(
         "event_id", "ts", F.to_date("ts").alias("day"),
         F.floor("value").cast("bigint").alias("cap"), F.col("user_id").alias("lite"),
-        time_of_day("ts").alias("tod"))
-    s = with_event_seq(ev, ["cap", "lite", "tod"], ["event_id"], scope_cols=["day"])
+        time_of_day("ts").alias("tod"),
+        F.floor(F.col("event_id") / SPLIT_ROWS).cast("bigint").alias("block_start"))
+    s = with_event_seq(ev, ["cap", "lite", "tod"], ["block_start", "event_id"], scope_cols=["day"],
+                       split_col="block_start")
     return s.select("event_id", "tod", composite_key("cap", "lite", "ts", "event_seq").alias("key"))
 
 
@@ -229,7 +234,7 @@ def q_event_seq_day(spark, d):
         "event_id", "user_id", "event_type", F.to_date("ts").alias("day"),
         hour_start("ts").alias("file_hour"))
     s = with_event_seq(ev, ["user_id", "event_type"], ["file_hour", "event_id"],
-                       scope_cols=["day"])
+                       scope_cols=["day"], split_col="file_hour")
     return s.select("event_id", "event_seq")
 
 
@@ -306,12 +311,12 @@ def q_zero_id_report(spark, d):
 
 def q_missing_in_db(spark, d):
     lk, tr = _audit_inputs(spark, d)
-    return rc.missing_keys(rc.key_pairs(lk, tr))
+    return rc.only_left(lk, tr)
 
 
 def q_excess_in_db(spark, d):
     lk, tr = _audit_inputs(spark, d)
-    return rc.excess_keys(rc.key_pairs(lk, tr))
+    return rc.only_left(tr, lk)
 
 
 def q_except_ids(spark, d):
@@ -351,7 +356,8 @@ def q_audit_all_lines(spark, d):
 
 
 def q_audit_summary(spark, d):
-    res = _results(spark, d)
+    lk, tr = _audit_inputs(spark, d)
+    res = rc.classify(rc.reconcile_counts(rc.key_pairs(lk, tr)))  # statuses need no ID texts
     days = res.select("audited_date").distinct()
     expected = rc.expected_lines(days, ["MIRROR1", "CUT1", "CUT2"])
     return rc.audit_summary(res, expected)
@@ -361,8 +367,9 @@ def q_audit_rerun(spark, d):
     """First run: CUT2 table loaded with the zero-ID rule (rows missing). Re-run after a
     full reload: CUT2 only. Upsert by (line, audited_date) keeps the other lines."""
     first = _results(spark, d, cut2_zero_rule=True).select(*rc.RESULT_COLUMNS)
-    rerun = _results(spark, d, cut2_zero_rule=False).where(F.col("line") == "CUT2") \
-        .select(*rc.RESULT_COLUMNS)
+    ev = _t(spark, d, "events")
+    rerun = rc.audit_results(tf.hourly_log_keys(cut2_raw(ev)), tf.hourly_table_rows(cut2_table(ev, False), "CUT2"),
+                             _labels(spark).select("line", "key_label")).select(*rc.RESULT_COLUMNS)
     return upsert(first, rerun, ["line", "audited_date"])
 
 
@@ -451,29 +458,47 @@ def q_archive_scan(spark, d):
     return arch.archive_scan(_archive_table(spark, d), s, e)
 
 
+_ARCHIVE_RUNS: dict = {}
+
+
+def _archive_run(spark, d):
+    """The archive job over a day-partitioned copy of orders in the shared folder: the table
+    after the run, the job's report, and the written archive. One run serves the queries that
+    look at different results of it."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _ARCHIVE_RUNS:
+        base = fresh_dir(spark, "catalog", "archive")
+        _archive_table(spark, d).repartition("event_date").write.partitionBy("event_date").parquet(f"{base}/orders")
+        table = LakeTable(spark, f"{base}/orders")
+        report = archive_quarter(spark, table, "orders", f"{base}/archive", ARCHIVE_AS_OF)
+        _ARCHIVE_RUNS[key] = (table, report)
+    table, report = _ARCHIVE_RUNS[key]
+    return table, report, spark.read.parquet(report["path"])
+
+
 def q_archive_totals(spark, d):
-    s, e = arch.quarter_range(ARCHIVE_AS_OF)
-    a = arch.archive_scan(_archive_table(spark, d), s, e)
-    return a.agg(F.count(F.lit(1)).alias("rows"),
-                 F.countDistinct("event_date").alias("partitions")) \
-        .withColumn("period", F.lit(f"{s}_a_{e}"))
+    _, report, written = _archive_run(spark, d)
+    return written.agg(F.count(F.lit(1)).alias("rows"),
+                       F.countDistinct("event_date").alias("partitions")) \
+        .withColumn("period", F.lit(report["period"]))
 
 
 def q_archive_validate(spark, d):
+    """Source rows against the rows read back from the written archive, per day."""
     s, e = arch.quarter_range(ARCHIVE_AS_OF)
-    t = _archive_table(spark, d)
-    src = arch.archive_scan(t, s, e)
-    return arch.validate_counts(src, src.select("o_orderkey", "event_date"))
+    _, _, written = _archive_run(spark, d)
+    return arch.validate_counts(arch.archive_scan(_archive_table(spark, d), s, e), written)
 
 
 def q_retention_keep(spark, d):
-    s, e = arch.quarter_range(ARCHIVE_AS_OF)
-    return arch.retention_keep(_archive_table(spark, d), s, e)
+    """What the table holds after the validated day partitions were dropped."""
+    return _archive_run(spark, d)[0].read().select("o_orderkey", "event_date")
 
 
 def q_retention_counts(spark, d):
-    s, e = arch.quarter_range(ARCHIVE_AS_OF)
-    return arch.day_counts(arch.archive_scan(_archive_table(spark, d), s, e), name="deleted")
+    _, report, _ = _archive_run(spark, d)
+    rows = [(dt.date.fromisoformat(k), n) for k, n in report["deleted_per_day"].items()]
+    return spark.createDataFrame(rows, "day date, deleted bigint")
 
 
 def _stream(name):

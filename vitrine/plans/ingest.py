@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from vitrine.operators.sequence import last_write_wins
 from vitrine.operators.watermark import current_watermark, file_changes, watermark_entries
 from vitrine.plans import transform as tf
-from vitrine.plans.tables import LakeTable, MergeJournal, append_log, path_exists
+from vitrine.plans.tables import LakeTable, MergeJournal, append_log, delete_path, path_exists
 from vitrine.session import shared_dir
 from vitrine.sources.listing import list_hourly_logs, select_ingest_files
 from vitrine.sources.logscan import path_key, read_log
@@ -79,7 +79,8 @@ class IngestJob:
         """Finish batches whose partition overwrite may have been interrupted."""
         done = []
         for batch_id, staging in self.journal.pending():
-            self.table.overwrite_from(staging)
+            if path_exists(self.spark, staging):
+                self.table.overwrite_from(staging)
             wm = f"{staging}_watermark"
             if path_exists(self.spark, wm):
                 append_log(self.spark.read.parquet(wm), self.watermark_path,
@@ -138,28 +139,32 @@ class IngestJob:
                                       "modified timestamp, prev_size bigint, action string, "
                                       "load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
-                        kind="hourly", on_corrupt="flag",
-                        sizes={r["path"]: r["size"] for r in todo})
+                        kind="hourly", on_corrupt="flag")
         # Parse the CSV once: typed rows + corrupt flag go to the staging area, and every
         # later step (file policy, quarantine, sequencing, counts) reads that copy.
         parsed_path = shared_dir(spark, "staging", f"{batch_id}_parsed")
-        rows = read.rows.join(F.broadcast(files.select("file_key", "load_order")), "file_key")
+        rows = read.rows.join(files.select("file_key", "load_order"), "file_key")
         tf.clean_hourly(rows, extraction_ts, keep=("path", "_corrupt")) \
             .write.mode("overwrite").parquet(parsed_path)
         parsed = spark.read.parquet(parsed_path)
         rejected = {path_key(r["path"]): r["reason"] for r in read.rejected.collect()}
         if cfg.on_corrupt == "quarantine":
-            good = parsed.where(~F.col("_corrupt"))
+            good, left_out = parsed.where(~F.col("_corrupt")), parsed.where("_corrupt")
         else:  # fail_file (default): any corrupt row rejects its whole file
-            bad = [r["path"] for r in parsed.where("_corrupt").select("path").distinct().collect()]
+            files_bad = parsed.where("_corrupt").select("path").distinct()
+            bad = [r["path"] for r in files_bad.collect()]  # also goes to the run log, one row per file
             if bad and cfg.on_corrupt == "raise":
                 raise ValueError(f"corrupt rows in {bad}")
             rejected.update({path_key(p): "corrupt rows (ragged row or invalid UTF-8)" for p in bad})
-            good = parsed.where(~F.col("path").isin(bad)) if bad else parsed
-        append_log(good.where(F.col("time").isNull())
-                   .select(F.lit(batch_id).alias("batch_id"), "file_key", "row_pos",
-                           F.lit("event time missing or invalid").alias("reason")),
-                   self.rejected_path, guarded=True)
+            good, left_out = parsed.join(files_bad, "path", "left_anti"), parsed.limit(0)
+        # Rows that are left out are recorded before anything is stored; a failed record
+        # stops the batch.
+        append_log(left_out.select(F.lit(batch_id).alias("batch_id"), "file_key", "row_pos",
+                                   F.lit("corrupt row (ragged or invalid UTF-8)").alias("reason"))
+                   .unionByName(good.where(F.col("time").isNull())
+                                .select(F.lit(batch_id).alias("batch_id"), "file_key", "row_pos",
+                                        F.lit("event time missing or invalid").alias("reason"))),
+                   self.rejected_path)
         seq = tf.sequence_hourly(good.where(F.col("time").isNotNull()))
         seq = tf.zero_id_rule(seq, enabled=cfg.zero_id_rule)
         seq = last_write_wins(seq, list(cfg.keys), [F.col("load_order").desc(),
@@ -172,7 +177,7 @@ class IngestJob:
                     staged.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows")).collect()}
 
         stats = self.table.merge(staged.select(*staged_cols), list(cfg.keys), cfg.merge_mode,
-                                 journal=self.journal, batch_id=batch_id)
+                                 journal=self.journal, batch_id=batch_id, commit=False)
         ok_files = [r for r in todo if path_key(r["path"]) not in rejected]
         now = _now()
         log_rows = [(r["file_key"], int(per_file.get(r["file_key"], 0)),
@@ -183,13 +188,17 @@ class IngestJob:
                                          "status string, mensagem string, batch_id string, "
                                          "logged_at timestamp_ntz"), self.run_log_path, guarded=True)
         if ok_files:
-            wm = watermark_entries(files.where(F.col("path").isin([r["path"] for r in ok_files])),
-                                   batch_id, now)
+            stored = spark.createDataFrame([r.asDict() for r in ok_files], files.schema)
+            wm = watermark_entries(stored, batch_id, now)
             if stats.get("staging"):
                 wm.write.mode("overwrite").parquet(f"{stats['staging']}_watermark")
             append_log(wm, self.watermark_path, partition_col="file_date")
         if stats.get("staging"):
             self.journal.record(batch_id, stats["staging"], "committed")
+        # nothing needs the copies once the journal says committed
+        for path in (parsed_path, staged_path, stats.get("staging"), f"{stats.get('staging')}_watermark"):
+            if path and path_exists(spark, path):
+                delete_path(spark, path)
         return {"batch_id": batch_id, "files": len(todo), "rows": int(sum(per_file.values())),
                 "rejected_files": rejected, "rows_per_file": per_file,
                 "status": "error" if rejected else "success"}

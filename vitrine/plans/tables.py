@@ -2,8 +2,9 @@
 
 A merge never rewrites more than the partitions the batch touches:
 
-1. the touched partition values of the batch are collected (a few days/hours);
-2. the existing rows of exactly those partitions are read (static partition pruning);
+1. the batch's first and last day are found;
+2. the existing rows between them are read (static partition pruning) and joined to the
+   batch's distinct partitions;
 3. ``upsert``/``insert_ignore`` merge them with the batch;
 4. the merged partitions are written to a staging folder in the shared area
    (this also cuts the lineage, so the final write does not read the table it
@@ -31,9 +32,8 @@ from vitrine.sources.fs import delete_path, path_exists
 
 __all__ = ["LakeTable", "MergeJournal", "append_log", "path_exists", "delete_path"]
 
-# Staged batches up to this many rows have their keys broadcast to the anti join, so
-# the existing partitions are not shuffled (counted exactly before deciding).
-BROADCAST_MAX_ROWS = 2_000_000
+# Tasks that may share one partition's rows when it is written.
+WRITE_SALTS = 8
 
 
 def append_log(df: DataFrame, path: str, guarded: bool = False, partition_col: str | None = None
@@ -54,12 +54,6 @@ def append_log(df: DataFrame, path: str, guarded: bool = False, partition_col: s
         return False
 
 
-def _partition_filter(values: list[dict]) -> F.Column:
-    terms = [reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in row.items()])
-             for row in values]
-    return reduce(lambda a, b: a | b, terms)
-
-
 @dataclass
 class LakeTable:
     spark: SparkSession
@@ -77,54 +71,80 @@ class LakeTable:
                                                         F.lit(str(end)).cast("date")))
 
     def merge(self, staged: DataFrame, keys, mode: str = "update", staging: str | None = None,
-              journal: "MergeJournal | None" = None, batch_id: str | None = None) -> dict:
-        """Merge a (materialised) batch into the touched partitions. Returns stats."""
+              journal: "MergeJournal | None" = None, batch_id: str | None = None,
+              commit: bool = True) -> dict:
+        """Merge a (materialised) batch into the touched partitions. Returns stats.
+
+        The table is read between the batch's smallest and largest value of the first
+        partition column (static pruning) and joined to the batch's distinct partitions, so
+        neither a list of partitions nor a predicate per partition is built. With a journal
+        and ``commit`` the batch is recorded as committed and its staged copy removed;
+        otherwise the caller does both after its own bookkeeping."""
         spark = self.spark
         batch_id = batch_id or uuid.uuid4().hex
         staging = staging or shared_dir(spark, "staging", batch_id)
-        touched = [r.asDict() for r in staged.select(*self.partition_cols).distinct().collect()]
-        n_staged = staged.count()
-        if not touched:
+        cols = list(self.partition_cols)
+        first = cols[0]
+        bounds = staged.agg(F.min(first).alias("a"), F.max(first).alias("b"), F.count(F.lit(1)).alias("n"),
+                            F.count_distinct(F.struct(*cols)).alias("p")).first()
+        if not bounds["n"]:
             return {"batch_id": batch_id, "staged_rows": 0, "partitions": 0}
-        small = n_staged <= BROADCAST_MAX_ROWS
         if self.exists():
-            existing = self.read().where(_partition_filter(touched))
-            existing = existing.select(*staged.columns)
-            if mode == "update":
-                merged = upsert(existing, staged, keys, broadcast_staged=small)
-            else:
-                merged = insert_ignore(existing, staged, keys)
+            touched = staged.select(*[F.col(c).alias(f"_t_{c}") for c in cols]).distinct()
+            same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in cols])
+            near = F.col(first).between(F.lit(bounds["a"]), F.lit(bounds["b"])) | F.col(first).isNull()
+            existing = self.read().where(near).join(touched, same, "left_semi").select(*staged.columns)
+            merged = (upsert if mode == "update" else insert_ignore)(existing, staged, keys)
         else:
             merged = staged
-        # Range-partition on (partition columns, keys): each task writes a contiguous run of
-        # partitions (about one file per partition instead of one per task and partition),
-        # and a partition holding most of the batch is still split across tasks.
-        merged = merged.repartitionByRange(*self.partition_cols, *keys)
-        merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(staging)
+        # Hash on the partition columns and a bounded salt of the keys: few files per
+        # partition, and a partition that holds most of the batch is shared by several tasks.
+        salt = F.pmod(F.xxhash64(*keys), F.lit(WRITE_SALTS))
+        merged = merged.repartition(*cols, salt)
+        merged.write.mode("overwrite").partitionBy(*cols).parquet(staging)
         if journal is not None:
             journal.record(batch_id, staging, "staged")
         self.overwrite_from(staging)
-        return {"batch_id": batch_id, "staged_rows": n_staged, "partitions": len(touched),
+        if commit:
+            if journal is not None:
+                journal.record(batch_id, staging, "committed")
+            delete_path(spark, staging)
+        return {"batch_id": batch_id, "staged_rows": bounds["n"], "partitions": bounds["p"],
                 "staging": staging}
 
+    def finish(self, batch_id: str, staging: str, journal: "MergeJournal") -> None:
+        """Complete an interrupted overwrite from its staged copy."""
+        if path_exists(self.spark, staging):
+            self.overwrite_from(staging)
+        journal.record(batch_id, staging, "committed")
+        delete_path(self.spark, staging)
+
     def overwrite_from(self, staging: str) -> None:
         """Replace the partitions present in ``staging`` (dynamic partition overwrite)."""
         (self.spark.read.parquet(staging).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
-    def compact(self, where, staging: str | None = None) -> int:
+    def compact(self, where, journal: "MergeJournal | None" = None) -> int:
         """Rewrite the partitions selected by ``where`` (a predicate on partition columns)
-        as one file per partition, through a staging copy. For closed partitions of
-        append-only logs, which collect one small file per batch. Returns rows rewritten."""
+        as few files, through a staging copy. For closed partitions of append-only logs,
+        which collect one small file per batch. Returns rows rewritten."""
         part = self.read().where(where)
         n = part.count()
         if n == 0:
             return 0
-        staging = staging or shared_dir(self.spark, "staging", f"compact_{uuid.uuid4().hex}")
-        part.repartition(*self.partition_cols).write.mode("overwrite") \
+        batch_id = f"compact_{uuid.uuid4().hex}"
+        staging = shared_dir(self.spark, "staging", batch_id)
+        others = [c for c in part.columns if c not in self.partition_cols]
+        salt = F.pmod(F.xxhash64(*others), F.lit(WRITE_SALTS))
+        part.repartition(*self.partition_cols, salt).write.mode("overwrite") \
             .partitionBy(*self.partition_cols).parquet(staging)
+        if journal is not None:
+            journal.record(batch_id, staging, "staged")
         self.overwrite_from(staging)
+        if journal is not None:
+            journal.record(batch_id, staging, "committed")
+        delete_path(self.spark, staging)
         return n
 
     def drop_days(self, days: list[dt.date], day_col: str = "event_date") -> list[dt.date]:
@@ -150,13 +170,12 @@ class MergeJournal:
                                          "at timestamp_ntz, day date")
         row.write.mode("append").partitionBy("day").parquet(self.path)
 
-    def pending(self, lookback_days: int = 7) -> list[tuple[str, str]]:
-        """Batches staged but never committed (their overwrite may be incomplete), among
-        the last ``lookback_days`` days of the journal (older days are not read)."""
+    def pending(self) -> list[tuple[str, str]]:
+        """Batches staged but never committed, whatever their age: their overwrite may be
+        incomplete. (Compaction keeps the journal's closed days small.)"""
         if not path_exists(self.spark, self.path):
             return []
-        since = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=lookback_days)
-        j = self.spark.read.parquet(self.path).where(F.col("day") >= F.lit(since))
+        j = self.spark.read.parquet(self.path)
         done = j.where(F.col("state") == "committed").select("batch_id")
         pend = j.where(F.col("state") == "staged").join(done, "batch_id", "left_anti")
         return [(r["batch_id"], r["staging"]) for r in pend.collect()]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.calendar import event_date
-from vitrine.functions.clean import (canonical_id, composite_key, event_time, log_time,
+from vitrine.functions.clean import (audit_id, composite_key, event_time, log_time,
                                      scan_position, to_bigint, to_category,
                                      to_double, time_of_day)
 from vitrine.operators.sequence import with_event_seq
@@ -65,11 +65,6 @@ def table_exprs() -> list:
     return cols + [event_date("time").alias("event_date"), F.hour("time").alias("event_hour")]
 
 
-def table_columns(df: DataFrame) -> DataFrame:
-    """Conform to the table schema and add the partition columns."""
-    return df.select(*table_exprs())
-
-
 def zero_id_rule(df: DataFrame, enabled: bool = False, col: str = "lite_id") -> DataFrame:
     """Optional removal of fake 0 IDs (off by default; count them with a report first)."""
     return df.where(F.col(col).isNull() | (F.col(col) != 0)) if enabled else df
@@ -88,15 +83,12 @@ def computed(df: DataFrame, keep, **exprs) -> DataFrame:
 
 
 def plate_log_keys(raw: DataFrame, date_col: str = "Date", key_col: str = "GrpID",
-                   typed: bool = True) -> DataFrame:
+                   typed: bool = True, date_sep: str = "/") -> DataFrame:
     """Plate-log rows -> (line, audited_date, key): blank date/ID dropped, fraction of
     seconds stripped, unparseable times dropped, ID decimals removed."""
     d, k = F.trim(F.col(date_col)), F.trim(F.col(key_col))
-    key = canonical_id(F.col(key_col))
-    if typed:
-        key = to_bigint(key).cast("string")
     rows = computed(raw.where((d != "") & (k != "")), ["line"],
-                    _ts=log_time(F.col(date_col)), key=key)
+                    _ts=log_time(F.col(date_col), date_sep=date_sep), key=audit_id(F.col(key_col), typed))
     return rows.where(F.col("_ts").isNotNull()) \
         .select("line", F.to_date("_ts").alias("audited_date"), "key")
 
@@ -108,9 +100,7 @@ def hourly_log_keys(raw: DataFrame, time_col: str = "time", lite_col: str = "lit
     over all files of the audited day (rows of other days do not advance it)."""
     t, lite = F.trim(F.col(time_col)), F.trim(F.col(lite_col))
     ts = log_time(F.col(time_col), date_col=F.col("file_date"))
-    cap_k, lite_k = canonical_id(F.col(cap_col)), canonical_id(F.col(lite_col))
-    if typed:
-        cap_k, lite_k = to_bigint(cap_k), to_bigint(lite_k)
+    cap_k, lite_k = audit_id(F.col(cap_col), typed), audit_id(F.col(lite_col), typed)
     rows = computed(raw.where(F.coalesce(t, F.lit("")) != "").where(F.coalesce(lite, F.lit("")) != ""),
                     ["line", *order_cols], _ts=ts, _cap=cap_k, _lite=lite_k) \
         .where(F.col("_ts").isNotNull()) \
@@ -124,9 +114,15 @@ def hourly_log_keys(raw: DataFrame, time_col: str = "time", lite_col: str = "lit
                        composite_key("_cap", "_lite", "_ts", "_seq").alias("key"))
 
 
-def plate_table_rows(table: DataFrame, line: str, date_col: str, key_col: str) -> DataFrame:
+def plate_table_rows(table: DataFrame, line: str, date_col: str, key_col: str,
+                     typed: bool = True) -> DataFrame:
+    """Stored plate rows; their IDs take the same canonical form as the log's. Numbers go
+    through DECIMAL, so a DOUBLE 1.0E7 prints as 10000000."""
+    col = F.col(key_col)
+    if dict(table.dtypes)[key_col] in ("double", "float"):
+        col = col.cast("decimal(38,6)")
     return table.select(F.lit(line).alias("line"), F.to_date(F.col(date_col)).alias("audited_date"),
-                        F.col(key_col).cast("string").alias("key"))
+                        audit_id(col, typed).alias("key"))
 
 
 def hourly_table_rows(table: DataFrame, line: str) -> DataFrame:

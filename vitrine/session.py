@@ -16,8 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # foreachBatch handlers run whole jobs on the stream thread; give threads room
-    "spark.driver.extraJavaOptions": "-Xss16m",
 }
 
 
@@ -46,6 +44,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
             base = None
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
@@ -59,29 +59,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unique sub-folder of the shared folder."""
     return shared_dir(spark, *parts, uuid.uuid4().hex)
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
-    return df.checkpoint(eager=eager)
-
-
-def spread(df, min_partitions: int | None = None, by: str | None = None):
-    """Spread the rows over at least ``min_partitions`` tasks (default: the session's
-    parallelism) when the scan yields fewer splits than that: hashed on ``by`` (an id
-    column; no sort needed) or round-robin (which sorts rows first to stay
-    deterministic on retries).
-
-    A file with one Parquet row group is read by one task, so all per-row parsing
-    before the first shuffle would run on one core. Large inputs already have many
-    splits; for them this is a no-op and costs nothing.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, by) if by else df.repartition(want)

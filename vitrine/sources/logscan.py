@@ -4,9 +4,8 @@ Spark's CSV reader maps columns by position, but machines reorder, add and drop
 columns between firmware versions; a multi-file read would then silently swap
 values. The reader therefore works in two Spark passes:
 
-1. ``probe_headers`` gets the first line of every selected file: one scan when the
-   files are small, one limit-1 job per file (several at a time) when they are large,
-   so big files are not read twice. Only these header lines -- one short string per
+1. ``probe_headers`` gets the first line of every selected file in one distributed scan
+   of their lines, whatever the sizes. Only these header lines -- one short string per
    file, the same order of size as the file list Spark's own file index keeps --
    reach the driver.
 2. Files are grouped by header layout (a handful of firmware versions) and each
@@ -53,39 +52,18 @@ def split_header(line: str, sep: str) -> list[str]:
     return [p.strip().strip('"').strip() for p in parts]
 
 
-# Above this average file size, reading each file's first line separately is cheaper
-# than one pass over all the bytes.
-PROBE_SCAN_MAX_AVG_BYTES = 8 * 1024 * 1024
-
-
-def probe_headers(spark: SparkSession, paths: list[str], sizes: dict | None = None,
-                  threads: int = 16) -> dict[str, str]:
-    """First line of each file, by the cheaper of two plans:
-
-    * small files (average <= 8 MiB, known from the listing): one distributed job over
-      all of them; per file the line with the smallest row position in the split that
-      starts at byte 0 (a partial aggregation: one row per file and task is shuffled);
-    * large files: ``first()`` per file, a limit-1 job that stops after the first line,
-      ``threads`` at a time, so the data is not read a second time.
-    """
+def probe_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of each file, by one distributed job: per file the line with the smallest
+    row position in the split that starts at byte 0 (a partial aggregation: one row per file
+    and task is shuffled)."""
     if not paths:
         return {}
-    if sizes and sum(sizes.get(p, 0) for p in paths) / len(paths) <= PROBE_SCAN_MAX_AVG_BYTES:
-        t = spark.read.text(paths).select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("bs"),
-            F.monotonically_increasing_id().alias("pos"), "value")
-        first = t.where(F.col("bs") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("h"))
-        return {r["path"]: r["h"] for r in first.collect()}
-
-    from concurrent.futures import ThreadPoolExecutor
-
-    def first_line(p: str):
-        row = spark.read.text(p).first()
-        return p, (row["value"] if row is not None else None)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        return {p: h for p, h in pool.map(first_line, paths) if h is not None}
+    t = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("bs"),
+        F.monotonically_increasing_id().alias("pos"), "value")
+    first = t.where(F.col("bs") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("h"))
+    return {r["path"]: r["h"] for r in first.collect()}
 
 
 def path_key(p: str) -> str:
@@ -98,20 +76,18 @@ def path_key(p: str) -> str:
 
 def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[str, ...],
              kind: str = "hourly", on_corrupt: str = "fail_file",
-             wanted: tuple[str, ...] | None = None, strict_utf8: bool = True,
-             sizes: dict | None = None) -> LogRead:
+             wanted: tuple[str, ...] | None = None, strict_utf8: bool = True) -> LogRead:
     """Read delimited logs by header name.
 
     kind: 'hourly' (path YYYY/MM/DD/HH.csv) or 'plate' (path YYYY-MM/YYYY-MM-DD-PlateLog.txt)
           decides how file_date / file_hour / file_key are derived from the path.
     required: normalised names every file must have.
     wanted: normalised names to return (default: required); extra columns are ignored.
-    sizes: {path: bytes} from the listing; picks the header-probe plan.
     strict_utf8: invalid bytes make a row corrupt (loader behaviour); when False they are
           decoded lossily (U+FFFD) and the row is kept (audit behaviour).
     """
     wanted = tuple(wanted or required)
-    headers = {path_key(k): v for k, v in probe_headers(spark, paths, sizes).items()}
+    headers = {path_key(k): v for k, v in probe_headers(spark, paths).items()}
     rejected: list[tuple[str, str]] = []
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for p in paths:
@@ -139,10 +115,13 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
         df = (spark.read.schema(schema)
               .option("sep", sep).option("header", "true").option("enforceSchema", "true")
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("columnPruning", "false")
               .csv(files))
         fields = [F.col(f"_f{i}") for i in range(len(raw))]
-        bad_text = F.concat_ws("", *fields).contains(REPLACEMENT_CHAR) if strict_utf8 \
-            else F.lit(False)
+        # The flag reads every field, so the parser sees the whole row whatever columns the
+        # plan keeps: a ragged row is ragged in every query over the file.
+        joined = F.concat_ws("", *fields)
+        bad_text = joined.contains(REPLACEMENT_CHAR) if strict_utf8 else F.length(joined) < 0
         # Flag (and later filter) on the raw positional columns, before any renaming: a
         # filter over ~30 renamed fields makes constraint inference explode.
         base = df.select(
@@ -179,8 +158,7 @@ def read_log(spark: SparkSession, paths: list[str], sep: str, required: tuple[st
             raise ValueError("corrupt rows found; see LogRead.corrupt")
     elif on_corrupt == "fail_file":  # a file with any corrupt row contributes nothing
         bad_files = corrupt.select("path").distinct()
-        # one row per failing file: bounded by the number of files in this read
-        rows = rows.join(F.broadcast(bad_files), "path", "left_anti")
+        rows = rows.join(bad_files, "path", "left_anti")
         rejected_df = rejected_df.unionByName(
             bad_files.select("path", F.lit("corrupt rows (ragged row or invalid UTF-8)").alias("reason")))
     return LogRead(rows, rejected_df, corrupt)

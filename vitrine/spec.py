@@ -6,7 +6,7 @@ and the downstream tables expect; changing one changes results.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -117,7 +117,7 @@ class LineSpec:
     sep: str
     key_label: str
     no_log_note: str = NOTE_NO_LOG
-    extra: dict = field(default_factory=dict)
+    date_sep: str = "/"          # between the parts of a date in the log's date column
 
 
 LINES = {
