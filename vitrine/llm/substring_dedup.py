@@ -47,7 +47,9 @@ MIN_CELLS, MAX_CELLS = 1 << 18, 1 << 28
 #: Cells of one row that are merged together; also the unit of the broadcast.
 CHUNK = 1 << 16
 #: Word hashes kept per Python worker; a full cache is dropped.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Text bytes handled at a time by one task, and keys counted at a time.
+SLICE, KEYS = 1 << 20, 1_000_000
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -73,7 +75,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         inverse = pow(_ODD, -1, 1 << 64)
         for k, m in enumerate((_ODD, inverse)):
-            steps = np.full(max(n, 1 << 20), m, np.uint64)
+            steps = np.full(max(n, 1 << 18), m, np.uint64)
             steps[0] = 1
             _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
     return _POWERS[0][:n], _POWERS[1][:n]
@@ -141,7 +143,7 @@ def window_sketch(src: DataFrame, cells: int, window: int, run: int, depth: int)
 
     def count(batches):
         held: list[np.ndarray] = []
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             (doc, _, _, key, _), _ = slice_windows([split_words(x) for x in b.column("text").to_pylist()], window, run)
             if not len(key):
                 continue
@@ -151,7 +153,7 @@ def window_sketch(src: DataFrame, cells: int, window: int, run: int, depth: int)
             order = np.lexsort((key, doc))
             doc, key = doc[order], key[order]
             held.append(key[np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]])
-            if sum(map(len, held)) > 2_000_000:
+            if sum(map(len, held)) > KEYS:
                 yield from flush(held)
                 held = []
         yield from flush(held)
@@ -204,7 +206,7 @@ def candidate_runs(src: DataFrame, cells: int, bits, window: int, run: int, dept
 
     def pick(batches):
         table_bits = np.frombuffer(bits.value, np.uint8)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             (doc, pos, whole, key, place), between = slice_windows(
                 [split_words(x) for x in b.column("text").to_pylist()], window, run)
             keep = np.ones(len(key), bool)
@@ -301,7 +303,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
 
     def untouched(batches):
         for b in batches:
-            for s in slices([b.filter(pa.array(~meets(b)))], "text"):
+            for s in slices([b.filter(pa.array(~meets(b)))], "text", SLICE):
                 n = [len(split_words(x)) for x in s.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [s.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64)), s.column("text"), s.column("rest")],
@@ -312,7 +314,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
             yield b.filter(pa.array(meets(b))).select(["doc_id", "rid", "text", "rest"])
 
     def clean(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             n, gone, kept = [], [], []
             for text, at in zip(b.column("text").to_pylist(), b.column("starts").to_pylist()):
                 words = split_words(text)
