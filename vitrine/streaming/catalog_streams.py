@@ -1,4 +1,9 @@
-"""Streaming forms of catalog queries: the driver's events table replayed as a stream."""
+"""Streaming forms of catalog queries: the driver's events table replayed as a stream.
+
+The events arrive as ``PARTS`` consecutive pieces in time order. After each piece the query is
+started on the same checkpoint and processes what is new, so every result is the product of
+several micro-batches and as many restarts.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +12,92 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.calendar import hour_start
 from vitrine.operators.sequence import with_event_seq
+from vitrine.plans.tables import LakeTable
 from vitrine.session import fresh_dir
 from vitrine.spec import TRANSITION_WINDOW_MINUTES
-from vitrine.streaming.ingest import (day_of_instant, read_upserted, run_micro_batches,
-                                      upsert_batch_writer, utc_instant)
+from vitrine.streaming.ingest import day_of_instant, run_micro_batches, utc_instant
 
 LATE = f"{TRANSITION_WINDOW_MINUTES} minutes"
+PARTS = 4
+
+
+def _replay(spark: SparkSession, d: str, run) -> None:
+    """Write the events piece by piece; ``run(stream)`` processes the new piece each time."""
+    ev = spark.read.parquet(f"{d.rstrip('/')}/events.parquet")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = ev.agg(F.percentile_approx(at, [k / PARTS for k in range(1, PARTS)])).first()[0] or []
+    piece = sum([(at > c).cast("int") for c in cuts], F.lit(0))
+    src = fresh_dir(spark, "stream_events")
+    for k in range(PARTS):
+        ev.where(F.coalesce(piece, F.lit(0)) == k).write.mode("append").parquet(src)
+        run(spark.readStream.schema(ev.schema).parquet(src).withColumn("event_time", utc_instant("ts")))
 
 
-def _events_stream(spark: SparkSession, d: str) -> DataFrame:
-    d = d.rstrip("/")
-    schema = spark.read.parquet(f"{d}/events.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(d)
-            .withColumn("event_time", utc_instant("ts")))
+def renumber(table: LakeTable, batch: DataFrame, batch_id: int) -> None:
+    """Merge a micro-batch of events and number the hours it touches as a whole: rows of an
+    hour that came in several batches (or twice) get the numbers of one complete file."""
+    keep = ["event_id", "user_id", "event_type", "file_hour", "event_date"]
+    rows = batch.select("event_id", "user_id", "event_type", hour_start("ts").alias("file_hour"),
+                        F.to_date("ts").alias("event_date"))
+    if table.exists():
+        days = rows.agg(F.min("event_date"), F.max("event_date")).first()
+        hours = rows.select("file_hour").distinct()
+        stored = table.read_days(days[0], days[1]).join(hours, "file_hour", "left_semi").select(*keep)
+        rows = rows.unionByName(stored).dropDuplicates(["event_id"])
+    seq = with_event_seq(rows, ["user_id", "event_type"], ["event_id"], scope_cols=["file_hour"])
+    staged = fresh_dir(table.spark, "staging", f"stream_{batch_id}")
+    seq.write.parquet(staged)
+    table.merge(table.spark.read.parquet(staged), ["event_id"])
 
 
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """Events -> watermark -> per micro-batch: event_seq per hourly file -> keyed upsert."""
-    out = fresh_dir(spark, "stream_ingest")
-    keys = ["event_id"]
+    """Events -> per micro-batch: event_seq per whole hourly file -> keyed merge."""
+    table = LakeTable(spark, fresh_dir(spark, "stream_ingest"))
+    ckpt = fresh_dir(spark, "streams", "stream_ingest")
 
-    def transform(batch: DataFrame, batch_id: int):
-        rows = batch.select("event_id", "user_id", "event_type", hour_start("ts").alias("file_hour"))
-        seq = with_event_seq(rows, ["user_id", "event_type"], ["event_id"], scope_cols=["file_hour"])
-        upsert_batch_writer(out, keys)(seq.drop("file_hour"), batch_id)
+    def handle(batch: DataFrame, batch_id: int):
+        if not batch.isEmpty():
+            renumber(table, batch, batch_id)
 
-    s = _events_stream(spark, d).withWatermark("event_time", LATE)
-    run_micro_batches(s, transform, "stream_ingest")
-    return read_upserted(spark, out, keys)
+    _replay(spark, d, lambda s: run_micro_batches(s, handle, "stream_ingest", checkpoint=ckpt))
+    return table.read().select("event_id", "user_id", "event_type", "event_seq")
 
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Repeated (user, type, hour) records dropped within the watermark delay."""
-    s = _events_stream(spark, d).withWatermark("event_time", LATE) \
-        .withColumn("hour_key", F.date_format("ts", "yyyy-MM-dd HH"))
-    ded = s.dropDuplicatesWithinWatermark(["user_id", "event_type", "hour_key"]) \
-        .select("user_id", "event_type", "hour_key")
-    out = fresh_dir(spark, "stream_dedup")
-    run_micro_batches(ded, lambda b, i: b.write.mode("append").parquet(out), "stream_dedup")
-    return spark.read.parquet(out)
+    """One record per (user, type, hour). The stream drops repeats within the watermark delay
+    (and rows later than that); the keyed sink ignores records that an earlier batch, or an
+    earlier try of the same batch, already stored."""
+    table = LakeTable(spark, fresh_dir(spark, "stream_dedup"), ("day",))
+    ckpt = fresh_dir(spark, "streams", "stream_dedup")
+    keys = ["user_id", "event_type", "hour_key"]
+
+    def handle(batch: DataFrame, batch_id: int):
+        if not batch.isEmpty():
+            staged = fresh_dir(spark, "staging", f"dedup_{batch_id}")
+            batch.withColumn("day", F.substring("hour_key", 1, 10)).write.parquet(staged)
+            schema = batch.schema.add("day", "string")
+            table.merge(spark.read.schema(schema).parquet(staged), keys, mode="ignore")
+
+    def run(events: DataFrame):
+        s = events.withWatermark("event_time", LATE).withColumn("hour_key", F.date_format("ts", "yyyy-MM-dd HH"))
+        run_micro_batches(s.dropDuplicatesWithinWatermark(keys).select(*keys), handle, "stream_dedup", checkpoint=ckpt)
+
+    _replay(spark, d, run)
+    return table.read().select(*keys)
 
 
 def stream_day_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Daily tumbling counts with a watermark; complete mode emits every day."""
-    s = _events_stream(spark, d).withWatermark("event_time", LATE)
-    agg = s.groupBy(F.window("event_time", "1 day")).agg(F.count(F.lit(1)).alias("rows")) \
-        .select(day_of_instant(F.col("window.start")).alias("day"), "rows")
+    """Daily tumbling counts with a watermark; complete mode emits every day, every batch."""
     out = fresh_dir(spark, "stream_day_counts")
     ckpt = fresh_dir(spark, "streams", "stream_day_counts")
-    q = (agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
-         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+    def run(events: DataFrame):
+        agg = events.withWatermark("event_time", LATE).groupBy(F.window("event_time", "1 day")) \
+            .agg(F.count(F.lit(1)).alias("rows")).select(day_of_instant(F.col("window.start")).alias("day"), "rows")
+        q = (agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    _replay(spark, d, run)
     return spark.read.parquet(out)
