@@ -359,3 +359,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return remove_repeats(table(spark, sf_dir, "documents")).mapInArrow(
         digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+ORACLE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+f AS (SELECT s, min(doc_id) AS least FROM x GROUP BY s),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM x JOIN f USING (s) WHERE least < doc_id),
+k AS (SELECT doc_id, k, word FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS k, unnest(ws) AS word FROM w)
+      ANTI JOIN c USING (doc_id, k)),
+g AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept FROM k GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN g ON g.doc_id = w.doc_id
+"""
