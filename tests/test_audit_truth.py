@@ -126,3 +126,24 @@ def test_log_time_takes_one_format(spark):
     df = spark.createDataFrame([("2024/01/05 10:00:03.5",), ("2024-01-05 10:00:03",)], "t string")
     assert [r[0] is None for r in df.select(log_time("t")).collect()] == [False, True]
     assert [r[0] is None for r in df.select(log_time("t", date_sep="-")).collect()] == [True, False]
+
+
+def test_every_registered_table_is_archived_by_its_own_time_column(spark, tmp):
+    from vitrine.plans.archive import archive_registry, with_event_date
+    from vitrine.spec import ARCHIVE_TABLES
+    for name, col in ARCHIVE_TABLES.items():
+        rows = spark.createDataFrame([(k, dt.datetime(2024, 3, 30 + k % 2, 5) if k < 6 else dt.datetime(2024, 4, 2)) for k in range(8)],
+                                     f"id int, `{col}` timestamp_ntz")
+        with_event_date(rows, name).write.partitionBy("event_date").parquet(os.path.join(tmp, "t", name))
+    got = archive_registry(spark, os.path.join(tmp, "t"), os.path.join(tmp, "a"), "2024-04-20")
+    assert set(got) == set(ARCHIVE_TABLES)
+    for name, r in got.items():
+        assert r["rows"] == r["deleted_total"] == 6 and r["partitions"] == 2 and not r["invalid_days"]
+        assert LakeTable(spark, os.path.join(tmp, "t", name)).read().count() == 2
+
+
+def test_a_day_whose_copy_differs_stays(spark):
+    from vitrine.operators.archive import validate_counts
+    src = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 2))], "id int, event_date date")
+    bad = src.where("id <> 2")
+    assert {str(r["day"]): r["valid"] for r in validate_counts(src, bad).collect()} == {"2024-01-01": False, "2024-01-02": True}

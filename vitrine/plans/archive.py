@@ -4,14 +4,35 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators import archive as arch
 from vitrine.plans.tables import LakeTable
-from vitrine.spec import ARCHIVE_CODEC, ARCHIVE_PERIOD_SEPARATOR
+from vitrine.spec import ARCHIVE_CODEC, ARCHIVE_PERIOD_SEPARATOR, ARCHIVE_TABLES
 
-__all__ = ["archive_quarter"]
+__all__ = ["archive_quarter", "archive_registry", "with_event_date"]
+
+
+def with_event_date(rows: DataFrame, table_name: str, day_col: str = "event_date") -> DataFrame:
+    """Rows of a registered table with the day partition made from the table's own time
+    column (date, time, Time or starttime)."""
+    return rows.withColumn(day_col, F.to_date(F.col(ARCHIVE_TABLES[table_name])))
+
+
+def archive_registry(spark: SparkSession, root: str, base: str, as_of: str | dt.date,
+                     drop: bool = True) -> dict:
+    """``archive_quarter`` of every registered table that exists below ``root``. A table that
+    fails is reported under ``error`` and the others go on."""
+    out = {}
+    for name in ARCHIVE_TABLES:
+        table = LakeTable(spark, f"{root.rstrip('/')}/{name}")
+        if table.exists():
+            try:
+                out[name] = archive_quarter(spark, table, name, base, as_of, drop=drop)
+            except Exception as exc:  # noqa: BLE001 - reported; nothing of this table was dropped
+                out[name] = {"error": str(exc)}
+    return out
 
 
 def archive_quarter(spark: SparkSession, table: LakeTable, table_name: str, base: str,
