@@ -41,9 +41,9 @@ BLOCK_BYTES, SHARD_BYTES = 6 << 20, 48 << 20
 #: Classes: end, rest, single words, endings of two letters.
 SINGLE_WORDS, ENDINGS = 64, 62
 END, REST = 0, 1
-HIDDEN, LANES, STEPS = 16, 16, 24
+HIDDEN, LANES, STEPS = 16, 64, 16
 #: Learning rounds, and one in how many learning documents the network is fitted on.
-ROUNDS, FIT_EVERY, RATE, SEED = 2, 8, 0.01, 7
+ROUNDS, FIT_EVERY, RATE, SEED = 2, 8, 0.02, 7
 #: Steps between which the scorer sums up; the state goes on.
 SCORE_STEPS = 64
 
@@ -279,14 +279,13 @@ class Network:
         logits -= logits.max(axis=2, keepdims=True)
         prob = np.exp(logits)
         prob /= prob.sum(axis=2, keepdims=True)
-        lanes = np.arange(inputs.shape[1])
-        for t, y in enumerate(targets):
-            prob[t, lanes, y] -= 1
+        prob[np.arange(len(targets))[:, None], np.arange(inputs.shape[1]), targets] -= 1
         prob /= targets.size
         grad.v += np.tensordot(states, prob, ((0, 1), (0, 1)))
         grad.b += prob.sum(axis=(0, 1))
         from_out = prob @ self.v.T
         back = np.zeros_like(h)
+        into = np.empty((*inputs.shape, 3 * self.hidden), np.float32)
         for t in range(len(inputs) - 1, -1, -1):
             before, z, r, new, un = trace[t]
             d = from_out[t] + back
@@ -294,9 +293,13 @@ class Network:
             d_z = d * (before - new) * z * (1 - z)
             d_r = d_new * un * r * (1 - r)
             d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            np.add.at(grad.x, inputs[t], np.concatenate([d_z, d_r, d_new], axis=1))
+            into[t] = np.concatenate([d_z, d_r, d_new], axis=1)
             grad.u += before.T @ d_u
             back = (d * z + d_u @ self.u.T) * (inputs[t] != END)[:, None]
+        rows = inputs.ravel()
+        order = np.argsort(rows, kind="stable")
+        used, first = np.unique(rows[order], return_index=True)
+        grad.x[used] = np.add.reduceat(into.reshape(len(rows), -1)[order], first, axis=0)
         return grad.vector, h
 
     def fit(self, sequences: list[np.ndarray], rate: float) -> int:
@@ -334,12 +337,10 @@ class Network:
                 part = sequences[d][max(lo - 1, 0):lo + steps]
                 at = 0 if lo else 1
                 x[at:at + len(part), k] = part
-            states = np.empty((steps, len(live), self.hidden), np.float32)
-            for t in range(steps):
-                n = int((size[live] > lo + t).sum())
-                states[t] = h
-                states[t, :n] = self.step(h[:n], x[t, :n])[0]
-                h = states[t]
+            states = np.zeros((steps, len(live), self.hidden), np.float32)
+            left = np.searchsorted(-size[live], -(lo + np.arange(steps)), side="left").tolist()
+            for t, n in enumerate(left):
+                h = states[t, :n] = self.step(h[:n], x[t, :n])[0]
             y = x[1:]
             for a in range(0, len(live), 512):
                 logits = states[:, a:a + 512] @ self.v + self.b
