@@ -25,14 +25,12 @@ and the text are ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import slices, table, written
+from vitrine.llm.common import SPACE_CLASS, slices, table, written
 
 WINDOW = 50
 #: Words of the runs among which a window's minimizer is chosen.
@@ -250,6 +248,7 @@ def covered_starts(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
     assert len(dense) == depth * per_row * CHUNK // 8
     bits = spark.sparkContext.broadcast(bytes(dense))  # at most DEPTH * MAX_CELLS / 8 bytes
     runs = written(candidate_runs(docs, cells, bits, window, run, depth), "repeated-runs")
+    bits.destroy()  # the runs are written; nothing reads the sketch again
     name = ["rh", "h0", "n"]
     # each distinct run, with the smallest doc_id that holds it (null if it has none)
     holders = runs.groupBy(*name).agg(F.min("doc_id").alias("least"))
@@ -350,15 +349,10 @@ def lost_cells(lost: DataFrame) -> bytes:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest of what each document keeps."""
-    def digest(batches):
-        for b in slices(batches, "kept"):
-            sha = [hashlib.sha256(b" ".join(split_words(x))).hexdigest() for x in b.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "n_words", "n_removed")] + [pa.array(sha)],
-                                             names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return remove_repeats(table(spark, sf_dir, "documents")).mapInArrow(
-        digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    """Digest of what each document keeps; the hash is over the words joined by one space."""
+    words = F.trim(F.regexp_replace(F.coalesce("kept", F.lit("")), SPACE_CLASS + "+", " "))
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
 
 
 ORACLE_SQL = r"""
