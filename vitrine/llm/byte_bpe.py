@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -210,14 +211,19 @@ class Codec:
                        b"".join([u.encode() if isinstance(g, str) else g[1] for u, g in zip(us, got)]))
 
 
+#: A space that follows white space, and the place between a word and the space that follows it.
+INSIDE_RUN, AFTER_WORD = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+
+
 def text_chunks(text: str) -> list[str]:
-    """Cut a text after a word and before the single space that follows, where the pattern
-    always starts a new match, so that repeated chunks are split and encoded once. Where the
-    pattern could match a run of spaces across cuts (two spaces in a row) the text stays whole."""
+    """Cut a text before every space that follows a character other than white space, so that
+    repeated chunks are split and encoded once. No match of the pattern holds white space after
+    another character, so one always starts there; a run of white space, mixed or not, stays in
+    one chunk with what follows it."""
     if not text:
         return []
-    if "  " in text or "\0" in text:
-        return [text]
+    if "\0" in text or INSIDE_RUN.search(text):
+        return AFTER_WORD.split(text)
     chunks = text.replace(" ", "\0 ").split("\0")
     return chunks if chunks[0] else chunks[1:]
 
