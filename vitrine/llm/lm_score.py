@@ -10,8 +10,8 @@ the whole document, window after window.
 Spark's part: documents are packed into blocks of bounded text, written once. Every block sends
 its distinct words, dealt by hash into shards; a shard adds up each word's counts over all
 blocks and answers every block with totals in the order in which it asked, so the vocabulary is
-never broadcast or collected. Blocks learn from the same start on a fixed fraction of their
-learning documents and their parameters are averaged by Spark, round after round; the driver
+never broadcast or collected. Blocks learn from the same start on all their learning
+documents and their parameters are averaged by Spark, round after round; the driver
 holds one parameter vector and the class tables, whose size the constants bound.
 
 Defined results: a null or empty text is the end token alone; a null doc_id counts as held out;
@@ -42,8 +42,8 @@ BLOCK_BYTES, SHARD_BYTES = 6 << 20, 48 << 20
 SINGLE_WORDS, ENDINGS = 64, 62
 END, REST = 0, 1
 HIDDEN, LANES, STEPS = 16, 64, 16
-#: Learning rounds, and one in how many learning documents the network is fitted on.
-ROUNDS, FIT_EVERY, RATE, SEED = 2, 8, 0.02, 7
+#: Learning rounds.
+ROUNDS, RATE, SEED = 2, 0.02, 7
 #: Steps between which the scorer sums up; the state goes on.
 SCORE_STEPS = 64
 
@@ -52,10 +52,6 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % FOLDS == 0
 
 
-def is_fitted_on(doc_id: int | None) -> bool:
-    return not is_held_out(doc_id) and zlib.crc32(f"fit {doc_id}".encode()) % FIT_EVERY == 0
-
-
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -256,8 +252,11 @@ class Network:
             at += int(np.prod(shape))
 
     def step(self, h: np.ndarray, x: np.ndarray):
+        return self._step(h, self.x[x])
+
+    def _step(self, h: np.ndarray, a: np.ndarray):
         k = self.hidden
-        a, w = self.x[x], h @ self.u
+        w = h @ self.u
         gates = 1 / (1 + np.exp(-(a[:, :2 * k] + w[:, :2 * k])))
         z, r = gates[:, :k], gates[:, k:]
         new = np.tanh(a[:, 2 * k:] + r * w[:, 2 * k:])
@@ -265,52 +264,60 @@ class Network:
 
     def window_gradient(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray):
         """Gradient of the mean loss over one window (steps x lanes), and the state to carry.
-        The state restarts where the input is the end of a document."""
-        grad = Network(self.shapes["b"][0], self.hidden, np.zeros_like(self.vector))
-        past, trace = [], []
-        for x in inputs:
-            h = h * (x != END)[:, None].astype(np.float32)
-            out, z, r, new, un = self.step(h, x)
-            trace.append((h, z, r, new, un))
-            past.append(out)
-            h = out
-        states = np.stack(past)
-        logits = states @ self.v + self.b
-        logits -= logits.max(axis=2, keepdims=True)
-        prob = np.exp(logits)
-        prob /= prob.sum(axis=2, keepdims=True)
-        prob[np.arange(len(targets))[:, None], np.arange(inputs.shape[1]), targets] -= 1
-        prob /= targets.size
-        grad.v += np.tensordot(states, prob, ((0, 1), (0, 1)))
-        grad.b += prob.sum(axis=(0, 1))
-        from_out = prob @ self.v.T
+        The state restarts where the input is the end of a document; targets below 0 are padding
+        and do not count."""
+        k = self.hidden
+        grad = Network(self.shapes["b"][0], k, np.zeros_like(self.vector))
+        keep = (inputs != END)[:, :, None].astype(np.float32)
+        ahead = self.x[inputs]
+        before, states, z, r, new, un = np.empty((6, *inputs.shape, k), np.float32)
+        for t in range(len(inputs)):
+            before[t] = h * keep[t]
+            h, z[t], r[t], new[t], un[t] = self._step(before[t], ahead[t])
+            states[t] = h
+        flat = states.reshape(-1, k)
+        prob = flat @ self.v
+        prob += self.b
+        prob -= prob.max(axis=1, keepdims=True)
+        np.exp(prob, out=prob)
+        prob /= prob.sum(axis=1, keepdims=True)
+        goal = targets.ravel()
+        prob[np.arange(len(goal)), goal] -= 1
+        prob[goal < 0] = 0
+        prob /= max(1, int((goal >= 0).sum()))
+        grad.v += flat.T @ prob
+        grad.b += prob.sum(axis=0)
+        from_out = (prob @ self.v.T).reshape(states.shape)
+        by_new, by_z, by_r = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), un * r * (1 - r)
         back = np.zeros_like(h)
-        into = np.empty((*inputs.shape, 3 * self.hidden), np.float32)
+        d_u = np.empty((*inputs.shape, 3 * k), np.float32)
+        d_new = np.empty_like(states)
         for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, new, un = trace[t]
             d = from_out[t] + back
-            d_new = d * (1 - z) * (1 - new * new)
-            d_z = d * (before - new) * z * (1 - z)
-            d_r = d_new * un * r * (1 - r)
-            d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            into[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            grad.u += before.T @ d_u
-            back = (d * z + d_u @ self.u.T) * (inputs[t] != END)[:, None]
+            n = np.multiply(d, by_new[t], out=d_new[t])
+            np.multiply(d, by_z[t], out=d_u[t, :, :k])
+            np.multiply(n, by_r[t], out=d_u[t, :, k:2 * k])
+            np.multiply(n, r[t], out=d_u[t, :, 2 * k:])
+            back = (d * z[t] + d_u[t] @ self.u.T) * keep[t]
+        grad.u += before.reshape(-1, k).T @ d_u.reshape(-1, 3 * k)
+        d_u[:, :, 2 * k:] = d_new
         rows = inputs.ravel()
         order = np.argsort(rows, kind="stable")
         used, first = np.unique(rows[order], return_index=True)
-        grad.x[used] = np.add.reduceat(into.reshape(len(rows), -1)[order], first, axis=0)
+        grad.x[used] = np.add.reduceat(d_u.reshape(len(rows), -1)[order], first, axis=0)
         return grad.vector, h
 
     def fit(self, sequences: list[np.ndarray], rate: float) -> int:
-        """Adam over truncated windows of parallel lanes; returns the tokens seen."""
+        """Adam over truncated windows of parallel lanes, the last lanes padded; returns the
+        tokens seen, which are all tokens with the documents' ends."""
         if not sequences:
             return 0
-        stream = np.concatenate([np.r_[END, s] for s in sequences])[:-1] if len(sequences) else np.zeros(0, int)
-        target = np.concatenate([np.r_[s, END] for s in sequences])[:len(stream)]
+        stream = np.concatenate([np.r_[END, s] for s in sequences])
+        target = np.concatenate([np.r_[s, END] for s in sequences])
         lanes = min(LANES, max(1, len(stream) // STEPS))
-        steps = len(stream) // lanes
-        inputs, targets = (a[:steps * lanes].reshape(lanes, steps).T for a in (stream, target))
+        steps = -(-len(stream) // lanes)
+        inputs, targets = (np.append(a, np.full(steps * lanes - len(a), pad)).reshape(lanes, steps).T
+                           for a, pad in ((stream, END), (target, -1)))
         h = np.zeros((lanes, self.hidden), np.float32)
         m, s = np.zeros_like(self.vector), np.zeros_like(self.vector)
         for k, lo in enumerate(range(0, steps, STEPS), 1):
@@ -362,9 +369,9 @@ def fit_network(packed: DataFrame, classes: Classes) -> np.ndarray:
         def run(batches, start=start, rate=RATE / (1 + turn)):
             for _, ids, texts, _ in unpacked(batches):
                 net = Network(classes.n, HIDDEN, start)
-                chosen = [words_of(t) for i, t in zip(ids, texts) if is_fitted_on(i)]
                 known: dict[bytes, int] = {}
-                n = net.fit([np.array([known[w] if w in known else known.setdefault(w, classes.of(w)) for w in ws], np.int64) for ws in chosen], rate)
+                n = net.fit([np.array([known[w] if w in known else known.setdefault(w, classes.of(w)) for w in words_of(t)], np.int64)
+                             for i, t in zip(ids, texts) if not is_held_out(i)], rate)
                 if n:
                     yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([net.vector.tolist()], pa.list_(pa.float32()))], names=["n", "p"])
 
