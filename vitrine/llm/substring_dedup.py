@@ -263,7 +263,8 @@ def covered_starts(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
     places = runs.select(*name, "rid", "doc_id", "start")
     lost = (places.join(holders, name).join(covered, name, "left")
             .withColumn("whole", F.expr("not (doc_id <=> least)")).where("whole or covered is not null"))
-    return lost.groupBy("doc_id", "rid").agg(F.collect_list(F.struct(
+    # a set: rows that repeat an id and a text name the same places, which one document bounds
+    return lost.groupBy("doc_id", "rid").agg(F.collect_set(F.struct(
         "start", F.when(F.col("whole"), F.col("n")).otherwise(0).alias("n"),
         F.when(~F.col("whole"), F.col("covered")).alias("covered"))).alias("starts"))
 
