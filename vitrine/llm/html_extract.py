@@ -31,8 +31,8 @@ from vitrine.llm.common import slices, table
 #: Lines in a window.
 WINDOW = 3
 #: Without an article element: a surge reaches this many characters, or half the page's highest
-#: window if that is less; regions with less than this part of the largest one's text go.
-SURGE, REGION_PART = 80, 0.2
+#: window if that is less.
+SURGE = 80
 LINK_SHARE = 0.5
 
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -216,10 +216,9 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
             end += 1
         regions.append((at, end))
         at = end
-    # a surge above the threshold takes the light lines just before it along
-    text = {r: int(weights[r[0]:r[1]].sum()) for r in regions}
-    enough = 0 if marked else REGION_PART * max(text.values(), default=0)
-    kept = [k for r in regions if text[r] >= enough for k in range(*r) if weights[k]]
+    # a surge above the threshold takes the light lines just before it along, and what lies
+    # between the first surge and the last dive stays whatever its size
+    kept = [k for k in range(regions[0][0], regions[-1][1]) if weights[k]] if regions else []
     return "\n".join(lines[k][0] for k in kept)
 
 
