@@ -14,7 +14,7 @@ from vitrine.llm.lm_score import op3_lm_score
 from vitrine.llm.packing import op5_packing
 from vitrine.llm.secret_scan import op1_secret_scan
 from vitrine.llm.simhash import op7_simhash
-from vitrine.llm import filter_audit, license_scan, substring_dedup, topk_search
+from vitrine.llm import filter_audit, license_scan, substring_dedup, topk_search, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extract": op9_html_extract,
     "op10_topk_search": topk_search.op10_topk_search,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_whitening": whitening.op12_whitening,
     "op13_license_scan": license_scan.op13_license_scan,
 }
 
