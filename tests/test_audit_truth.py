@@ -135,7 +135,7 @@ def test_every_registered_table_is_archived_by_its_own_time_column(spark, tmp):
         rows = spark.createDataFrame([(k, dt.datetime(2024, 3, 30 + k % 2, 5) if k < 6 else dt.datetime(2024, 4, 2)) for k in range(8)],
                                      f"id int, `{col}` timestamp_ntz")
         with_event_date(rows, name).write.partitionBy("event_date").parquet(os.path.join(tmp, "t", name))
-    got = archive_registry(spark, os.path.join(tmp, "t"), os.path.join(tmp, "a"), "2024-04-20")
+    got = archive_registry(spark, os.path.join(tmp, "t"), os.path.join(tmp, "a"), "2024-04-10")
     assert set(got) == set(ARCHIVE_TABLES)
     for name, r in got.items():
         assert r["rows"] == r["deleted_total"] == 6 and r["partitions"] == 2 and not r["invalid_days"]
@@ -147,3 +147,23 @@ def test_a_day_whose_copy_differs_stays(spark):
     src = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 2))], "id int, event_date date")
     bad = src.where("id <> 2")
     assert {str(r["day"]): r["valid"] for r in validate_counts(src, bad).collect()} == {"2024-01-01": False, "2024-01-02": True}
+
+
+def test_archive_failure_is_raised_after_the_other_tables(spark, tmp):
+    import pytest
+
+    from vitrine.plans.archive import ArchiveFailed, archive_registry, with_event_date
+    from vitrine.spec import ARCHIVE_TABLES
+    names = list(ARCHIVE_TABLES)[:2]
+    for name in names:
+        rows = spark.createDataFrame([(k, dt.datetime(2024, 3, 30 + k % 2, 5)) for k in range(4)], f"id int, `{ARCHIVE_TABLES[name]}` timestamp_ntz")
+        with_event_date(rows, name).write.partitionBy("event_date").parquet(os.path.join(tmp, "t", name))
+    blocked = os.path.join(tmp, "a")
+    os.makedirs(blocked)
+    open(os.path.join(blocked, names[0]), "w").close()  # a file where the first table's folder should go
+    with pytest.raises(ArchiveFailed) as failed:
+        archive_registry(spark, os.path.join(tmp, "t"), blocked, "2024-04-10")
+    assert set(failed.value.errors) == {names[0]} and failed.value.results[names[1]]["deleted_total"] == 4
+    assert LakeTable(spark, os.path.join(tmp, "t", names[0])).read().count() == 4
+    with pytest.raises(ArchiveFailed):  # an open quarter is refused for every table
+        archive_registry(spark, os.path.join(tmp, "t"), os.path.join(tmp, "b"), "2024-04-20")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine.spec import ARCHIVE_LOOKBACK_DAYS
 
-__all__ = ["quarter_range", "archive_scan", "day_counts", "validate_counts", "retention_keep"]
+__all__ = ["quarter_range", "archive_scan", "day_counts", "day_fingerprints", "validate_counts", "retention_keep"]
 
 
 def quarter_range(as_of: dt.date | str, lookback_days: int = ARCHIVE_LOOKBACK_DAYS,
@@ -41,15 +41,29 @@ def day_counts(df: DataFrame, day_col: str = "event_date", name: str = "rows") -
     return df.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias(name))
 
 
+def day_fingerprints(df: DataFrame, columns: list[str], day_col: str = "event_date", name: str = "rows") -> DataFrame:
+    """Rows per day, and a fingerprint of their contents that no order of rows changes: the xor
+    and the sum of the row hashes (a row stored twice cancels out of the one, not of the other).
+    Both are combined before the shuffle; nothing but one row a day leaves a task."""
+    row = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in columns])
+    return df.groupBy(F.col(day_col).alias("day")).agg(
+        F.count(F.lit(1)).alias(name),
+        F.struct(F.bit_xor(row), F.sum(row.bitwiseAND(F.lit(0xFFFFFFFF)))).alias(f"{name}_print"))
+
+
 def validate_counts(source: DataFrame, archive: DataFrame, day_col: str = "event_date"
                     ) -> DataFrame:
-    """Per day: source rows vs archived rows; a day may be dropped only when equal."""
-    s = day_counts(source, day_col, "source_rows")
-    a = day_counts(archive, day_col, "archived_rows")
-    j = s.join(a, "day", "full_outer").select(
-        "day", F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
-        F.coalesce("archived_rows", F.lit(0)).alias("archived_rows"))
-    return j.withColumn("valid", F.col("source_rows") == F.col("archived_rows"))
+    """Per day: source rows vs archived rows; a day may be dropped only when their number and
+    their contents are equal. A column that the copy lacks makes every day invalid."""
+    columns = sorted(source.columns)
+    if set(columns) - set(archive.columns):
+        archive = archive.limit(0).select(*archive.columns, *[F.lit(None).alias(c) for c in set(columns) - set(archive.columns)])
+    s = day_fingerprints(source, columns, day_col, "source_rows")
+    a = day_fingerprints(archive, columns, day_col, "archived_rows")
+    j = s.join(a, "day", "full_outer")
+    return j.select("day", F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
+                    F.coalesce("archived_rows", F.lit(0)).alias("archived_rows"),
+                    F.col("source_rows_print").eqNullSafe(F.col("archived_rows_print")).alias("valid"))
 
 
 def retention_keep(df: DataFrame, start, end, day_col: str = "event_date") -> DataFrame:

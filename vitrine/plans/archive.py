@@ -11,7 +11,15 @@ from vitrine.operators import archive as arch
 from vitrine.plans.tables import LakeTable
 from vitrine.spec import ARCHIVE_CODEC, ARCHIVE_PERIOD_SEPARATOR, ARCHIVE_TABLES
 
-__all__ = ["archive_quarter", "archive_registry", "with_event_date"]
+__all__ = ["ArchiveFailed", "archive_quarter", "archive_registry", "with_event_date"]
+
+
+class ArchiveFailed(RuntimeError):
+    """Some tables were not archived; ``results`` holds what was done for every table."""
+
+    def __init__(self, errors: dict, results: dict):
+        super().__init__("; ".join(f"{name}: {why}" for name, why in errors.items()))
+        self.errors, self.results = errors, results
 
 
 def with_event_date(rows: DataFrame, table_name: str, day_col: str = "event_date") -> DataFrame:
@@ -23,15 +31,19 @@ def with_event_date(rows: DataFrame, table_name: str, day_col: str = "event_date
 def archive_registry(spark: SparkSession, root: str, base: str, as_of: str | dt.date,
                      drop: bool = True) -> dict:
     """``archive_quarter`` of every registered table that exists below ``root``. A table that
-    fails is reported under ``error`` and the others go on."""
-    out = {}
+    fails or has invalid days does not stop the others; ``ArchiveFailed`` is raised at the end."""
+    out, errors = {}, {}
     for name in ARCHIVE_TABLES:
         table = LakeTable(spark, f"{root.rstrip('/')}/{name}")
         if table.exists():
             try:
                 out[name] = archive_quarter(spark, table, name, base, as_of, drop=drop)
-            except Exception as exc:  # noqa: BLE001 - reported; nothing of this table was dropped
-                out[name] = {"error": str(exc)}
+                if out[name]["invalid_days"]:
+                    errors[name] = f"days not equal to their copy: {out[name]['invalid_days']}"
+            except Exception as exc:  # noqa: BLE001 - raised below; nothing of this table was dropped
+                errors[name] = str(exc)
+    if errors:
+        raise ArchiveFailed(errors, out)
     return out
 
 

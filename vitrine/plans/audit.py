@@ -63,14 +63,18 @@ class AuditJob:
         # beside the table, not inside it: an interrupted overwrite of stored results is
         # finished from its staged copy before the next run
         self.journal = MergeJournal(spark, f"{results_path.rstrip('/')}_journal")
+        self.recover()
+
+    def recover(self) -> None:
         for batch_id, staging in self.journal.pending():
             self.results.finish(batch_id, staging, self.journal)
 
     def _files(self, ln: AuditLine, start: str, end: str) -> list:
+        after = dt.date.fromisoformat(end) + dt.timedelta(1)  # rows written after midnight
         if ln.spec.kind == "plate":
-            files = select_plate_audit_files(list_plate_logs(self.spark, ln.log_root), start, end)
+            files = select_plate_audit_files(list_plate_logs(self.spark, ln.log_root, start, after), start, end)
         else:
-            files = select_hourly_audit_files(list_hourly_logs(self.spark, ln.log_root), start, end)
+            files = select_hourly_audit_files(list_hourly_logs(self.spark, ln.log_root, start, after), start, end)
         return files.select("path", "file_date", "file_hour").collect()
 
     def _days_of(self, ln: AuditLine, row) -> list[dt.date]:
@@ -131,6 +135,7 @@ class AuditJob:
             ) -> DataFrame:
         end = end or start
         spark = self.spark
+        self.recover()  # this object's own last run may have died inside the overwrite
         base = shared_dir(spark, "staging", f"audit_{uuid.uuid4().hex}")
         grid, written = [], []
         for k, ln in enumerate(self.lines):

@@ -105,12 +105,13 @@ class IngestJob:
     # -- selection -----------------------------------------------------------------
     def changed_files(self, run_ts: str | None = None, start: str | None = None,
                       end: str | None = None) -> DataFrame:
-        listing = list_hourly_logs(self.spark, self.cfg.source_root)
         if start is None:
             run = dt.datetime.fromisoformat(run_ts)
-            wm = self.watermark(str((run - dt.timedelta(hours=1)).date()), str(run.date()))
+            days = str((run - dt.timedelta(hours=1)).date()), str(run.date())
         else:
-            wm = self.watermark(start, end)
+            days = start, end or start
+        listing = list_hourly_logs(self.spark, self.cfg.source_root, *days)
+        wm = self.watermark(*days)
         if start is not None:
             sel = listing.where(F.col("file_date").between(F.lit(start).cast("date"),
                                                            F.lit(end or start).cast("date")))
