@@ -49,3 +49,29 @@ def test_fewer_rows_than_k_and_edge_rows(spark):
     assert M.top_k(none, none, 10).count() == 0
     single = codes.where("vec_id = 0")
     assert M.top_k(single, single, 10).count() == 0
+
+
+def by_sql(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    return sorted(con.execute(M.ORACLE_SQL).fetchall())
+
+
+def test_an_id_with_several_codes_equals_the_sql(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    vec = lambda: rng.choice([-1.0, 1.0], 64).tolist()
+    for rows in ([(100, vec()), (100, vec()), (7, vec()), (8, vec())],
+                 [(k % 90 * 10, vec()) for k in range(300)] + [(100, vec()), (100, vec()), (None, vec()), (3, None)]):
+        df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, code int, q string")
+        monkeypatch.setattr(M, "table", lambda *a: df)
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.distance) for r in M.op10_topk_search(spark, "").collect())
+        assert got == by_sql(rows)
+
+
+def test_segments_cover_the_code_and_follow_the_size():
+    for n in (0, 1, 500, 2000, 51_282, 10**9):
+        cut = M.segments(n)
+        assert [a for a, _ in cut] == [sum(w for _, w in cut[:k]) for k in range(len(cut))] and sum(w for _, w in cut) == M.BITS
+        assert max(w for _, w in cut) <= M.WIDTH
+    assert len(M.segments(2000)) == 6 and len(M.segments(10**9)) == 4
