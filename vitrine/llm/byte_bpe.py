@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import slices, table
+from vitrine.llm.common import Generations, slices, table
 
-#: Distinct chunks kept per Python worker between slices; a full cache is dropped, not searched.
-CACHE_CHUNKS = 1_000_000
+#: Bytes of encoded chunks kept per Python worker.
+CACHE_BYTES = 256 << 20
 #: Words encoded by one recursive query.
 QUERY_WORDS = 40_000
 #: Longer words (in bytes) are contracted by a heap instead of relation rows: the recursion
@@ -96,7 +96,7 @@ class Codec:
         self._fill("merges", {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "m": pa.array(m, pa.int64())})
         self._fill("vocab", {"t": pa.array([r for _, r in toks], pa.int64()), "hex": pa.array([t.hex() for t, _ in toks])})
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], np.int64)
-        self.cache: dict[str, str | tuple[str, bytes]] = {}
+        self.cache = Generations(CACHE_BYTES)
 
     def _fill(self, name: str, cols: dict) -> None:
         self.con.register("incoming", pa.table(cols))
@@ -188,7 +188,7 @@ class Codec:
         for c, ws in zip(chunks, split):
             coded = " ".join([text[k] for k in ws])
             back = b"".join([raw[k] for k in ws])
-            self.cache[c] = coded if back == c.encode() else (coded, back)
+            self.cache.put(c, coded if back == c.encode() else (coded, back))
 
     def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         """Per text its ids as text, joined by one space, and the decoded bytes."""
@@ -196,12 +196,8 @@ class Codec:
         need = set()
         for us in cut:
             need.update(us)
-        new = [u for u in need if u not in self.cache]
-        if len(new) + len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-            new = list(need)
-        self.learn(new)
-        get = self.cache.__getitem__
+        self.learn(self.cache.missing(need))
+        get = self.cache.young.__getitem__
         for x, us in zip(texts, cut):
             got = list(map(get, us))
             try:
@@ -209,6 +205,7 @@ class Codec:
             except TypeError:  # a chunk whose decoded bytes differ from its own
                 yield (" ".join([g if isinstance(g, str) else g[0] for g in got]),
                        b"".join([u.encode() if isinstance(g, str) else g[1] for u, g in zip(us, got)]))
+        self.cache.turn()
 
 
 #: A space that follows white space, and the place between a word and the space that follows it.

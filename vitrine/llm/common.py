@@ -3,7 +3,7 @@ text batches for Arrow functions, and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,41 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, max_bytes: int = 4
             lo = hi
 
 
+class Generations:
+    """A cache of one Python worker, bounded in bytes. Entries live in a young generation; when
+    it is full it becomes the old one, and what is not asked for during a whole generation goes.
+    Common entries so stay while rare ones pass through."""
+
+    #: Bytes an entry takes besides its key and value.
+    ENTRY = 200
+
+    def __init__(self, room: int):
+        self.room, self.used = room // 2, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: Iterable) -> list:
+        """The keys that are in neither generation; the others are in the young one after this."""
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                v = old.get(k)
+                if v is None:
+                    out.append(k)
+                else:
+                    self.put(k, v)
+        return out
+
+    def put(self, key, value) -> None:
+        self.young[key] = value
+        self.used += self.ENTRY + len(key) + len(value)
+
+    def turn(self) -> None:
+        """Between two slices: let the old generation go when the young one is full."""
+        if self.used > self.room:
+            self.old, self.young, self.used = self.young, {}, 0
+
+
 def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 60) -> DataFrame:
     """Components of the undirected graph ``edges(a, b)`` (longs, a <> b): rows
     ``(node, root)`` with root = the smallest node, for every node except the roots.
