@@ -183,7 +183,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
              carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, lang_pred, score, mix) of every row; ``mix``: proportions of the language set.
     With ``carry`` those columns of the document follow in the struct ``rest``."""
-    rest = F.struct(*carry) if carry else F.lit(None).cast("int")
+    others = [c for c in carry if c != text_col]  # the text itself goes to Python once only
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs.tobytes()))
 
     def run(batches):
@@ -198,12 +199,16 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             mix = [[(langs[k], float(x[k])) for k in np.flatnonzero(x > 0)] for x in share]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(mix, pa.map_(pa.string(), pa.float64())), b.column("rest")], names=["doc_id", "lang_pred", "score", "mix", "rest"])
+                 pa.array(mix, pa.map_(pa.string(), pa.float64())), b.column("rest"), *([b.column("text")] if carry else [])],
+                names=["doc_id", "lang_pred", "score", "mix", "rest", *(["text"] if carry else [])])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
     kind = src.schema["rest"].dataType.simpleString()
-    out = src.mapInArrow(run, f"doc_id long, lang_pred string, score double, mix map<string,double>, rest {kind}")
-    return out if carry else out.drop("rest")
+    out = src.mapInArrow(run, f"doc_id long, lang_pred string, score double, mix map<string,double>, rest {kind}" + (", text string" if carry else ""))
+    if not carry:
+        return out.drop("rest")
+    back = F.struct(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.{c}").alias(c) for c in carry])
+    return out.withColumn("rest", back).drop("text")
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:

@@ -37,8 +37,9 @@ from vitrine.llm.common import slices, table, written
 
 SEQ_LEN = 1024
 END_ID = 0
-#: Entries kept per Python worker in each cache (chunks, words); a full cache is dropped.
-CACHE = 700_000
+#: Bytes kept per Python worker in the caches of chunks and of words, counting ``ENTRY`` bytes an
+#: entry besides its key and value; a full cache is dropped.
+CHUNK_BYTES, WORD_BYTES, ENTRY = 104 << 20, 72 << 20, 180
 #: Windows solved at a time, and how many such blocks a task keeps.
 BLOCK, BLOCKS_HELD = 2048, 6
 
@@ -66,6 +67,7 @@ class ByteLevelEncoder:
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
         self.chunk_ids: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
+        self.chunk_room, self.word_room = CHUNK_BYTES, WORD_BYTES
 
     def _word(self, word: str) -> bytes:
         got = self.word_ids.get(word)
@@ -73,6 +75,7 @@ class ByteLevelEncoder:
             spelled = word.encode().decode("latin-1").translate(self.letters)
             got = np.array([t.id for t in self.model.tokenize(spelled)], self.wide).tobytes()
             self.word_ids[word] = got
+            self.word_room -= ENTRY + len(word) + len(got)
         return got
 
     def _chunk(self, chunk: str) -> bytes:
@@ -84,13 +87,15 @@ class ByteLevelEncoder:
         """Ids of each text as little-endian bytes of type ``wide``."""
         if not self.by_word:
             return [np.array(e.ids, self.wide).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        if len(self.word_ids) > CACHE:
+        if self.word_room < 0:
             self.word_ids.clear()
+            self.word_room = WORD_BYTES
         out = []
         for text in texts:
             chunks = text_chunks(text)
-            if len(self.chunk_ids) + len(chunks) > CACHE:
+            if self.chunk_room < 0:
                 self.chunk_ids.clear()
+                self.chunk_room = CHUNK_BYTES
             ids = self.chunk_ids
             got = list(map(ids.get, chunks))
             if None in got:
@@ -101,6 +106,7 @@ class ByteLevelEncoder:
                         if x is None:
                             x = self._chunk(c)
                             ids[c] = x
+                            self.chunk_room -= ENTRY + len(c) + len(x)
                         got[k] = x
             out.append(b"".join(got))
         return out
