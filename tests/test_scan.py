@@ -87,3 +87,60 @@ def test_listing_and_transition_selection(spark, tmp):
     late = select_ingest_files(lst, "2024-01-05 10:10:00").collect()
     assert [r["file_key"] for r in late] == ["watermark_cut2_20240105_10"]
     assert all(r["size"] > 0 for r in lst.collect())
+
+
+def test_every_byte_is_read_once(spark, tmp):
+    """After ``read_log`` the logs may be gone: rows, rejected and corrupt read the one copy."""
+    import os
+    a = write_hourly(tmp, "2024-01-05", 7, [row(lite=str(k)) for k in range(500)], raw_lines=["1;2"])
+    b = write_hourly(tmp, "2024-01-05", 8, [row(lite="b")], header=HEADER[:-1])
+    c = write_hourly(tmp, "2024-01-05", 9, [row(lite="c")], header=list(reversed(HEADER)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        r = _read(spark, [a, b, c], on_corrupt="flag")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for p in (a, b, c):
+        os.remove(p)
+    rows = r.rows.collect()
+    assert len({x["block_start"] for x in rows}) > 5
+    assert sorted(x["lite_id"] for x in rows if not x["_corrupt"]) == sorted([str(k) for k in range(500)] + ["c"])
+    assert [x["reason"][:15] for x in r.rejected.collect()] == ["Missing columns"] and r.corrupt.count() == 1
+    assert all("log_lines" in f for f in r.rows.inputFiles())
+    r.release()
+    assert not any(os.path.exists(c.replace("file:", "")) for c in r.copies)
+
+
+def test_quoted_fields_blank_lines_bom_and_line_ends(spark, tmp):
+    import os
+    path = os.path.join(tmp, "2024", "01", "05", "07.csv")
+    os.makedirs(os.path.dirname(path))
+    with open(path, "wb") as f:
+        f.write(b'\r\n\xef\xbb\xbf"Time";Lite id;"Cap id"\r\n   \r\n07:00:00;"1;5";"say ""x"""\r\n;;\r\n"";2;\r\n')
+    r = read_log(spark, [path], ";", ("time", "lite_id", "cap_id"))
+    assert [(x["time"], x["lite_id"], x["cap_id"]) for x in r.rows.orderBy("row_pos").collect()] == [
+        ("07:00:00", "1;5", 'say "x"'), (None, None, None), (None, "2", None)]
+    assert r.rejected.count() == 0
+
+
+def test_empty_file_and_lossy_text(spark, tmp):
+    import os
+    good = write_hourly(tmp, "2024-01-05", 6, [row(lite="1")], encoding_bytes=b"07:00:00;\xc3\x28" + b";1" * (len(HEADER) - 2) + b"\n")
+    empty = os.path.join(tmp, "2024", "01", "05", "07.csv")
+    open(empty, "w").close()
+    r = _read(spark, [good, empty], strict_utf8=False)
+    assert sorted(x["lite_id"] for x in r.rows.collect()) == ["1", "�("]
+    assert [(x["path"], x["reason"]) for x in r.rejected.collect()] == [(empty, "empty file or no header")]
+
+
+def test_written_logs_come_back_in_order(spark, tmp):
+    from vitrine.plans.log_files import log_line, write_hourly_logs, write_plate_logs
+    rows = spark.range(5000).select(F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, id % 3)").alias("file_hour"),
+                                    F.col("id").alias("place"), log_line(";", F.col("id"), F.lit(None), F.lit("x")).alias("line"))
+    heads = rows.select("file_hour", F.lit(-1).cast("long").alias("place"), F.lit("A;B;C").alias("line")).distinct()
+    paths = write_hourly_logs(rows.unionByName(heads), tmp)
+    assert [p[-17:] for p in paths] == [f"2024/01/05/{h:02d}.csv" for h in range(3)]
+    got = read_log(spark, paths, ";", ("a", "b", "c")).rows.orderBy("file_hour", "block_start", "row_pos").collect()
+    assert [(r["a"], r["b"], r["c"]) for r in got] == [(str(k), None, "x") for h in range(3) for k in range(h, 5000, 3)]
+    days = spark.range(3).select(F.expr("date_add(date'2024-01-30', cast(id as int))").alias("file_date"), F.lit(0).alias("place"), F.lit("x").alias("line"))
+    assert [p[-32:] for p in write_plate_logs(days, tmp)] == [f"/{d[:7]}/{d}-PlateLog.txt" for d in ("2024-01-30", "2024-01-31", "2024-02-01")]

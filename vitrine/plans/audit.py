@@ -108,6 +108,7 @@ class AuditJob:
             tr = tf.hourly_table_rows(ln.table.read_days(start, end), spec.name)
         rc.key_pairs(lk, tr).write.mode("overwrite").parquet(path)
         bad = read.rows.where("_corrupt").groupBy("file_date").agg(F.count(F.lit(1)).alias("n")).collect()
+        read.release()
         return rejected, {r["file_date"]: r["n"] for r in bad}
 
     def _line(self, ln: AuditLine, start: str, end: str, path: str) -> tuple[list, bool]:

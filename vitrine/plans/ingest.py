@@ -141,7 +141,7 @@ class IngestJob:
                                       "load_order bigint")
         read = read_log(spark, [r["path"] for r in todo], cfg.sep, REQUIRED_FILE_COLUMNS,
                         kind="hourly", on_corrupt="flag")
-        # Parse the CSV once: typed rows + corrupt flag go to the staging area, and every
+        # Parse the lines once: typed rows + corrupt flag go to the staging area, and every
         # later step (file policy, quarantine, sequencing, counts) reads that copy.
         parsed_path = shared_dir(spark, "staging", f"{batch_id}_parsed")
         rows = read.rows.join(files.select("file_key", "load_order"), "file_key")
@@ -149,6 +149,7 @@ class IngestJob:
             .write.mode("overwrite").parquet(parsed_path)
         parsed = spark.read.parquet(parsed_path)
         rejected = {path_key(r["path"]): r["reason"] for r in read.rejected.collect()}
+        read.release()  # everything later reads the parsed copy
         if cfg.on_corrupt == "quarantine":
             good, left_out = parsed.where(~F.col("_corrupt")), parsed.where("_corrupt")
         else:  # fail_file (default): any corrupt row rejects its whole file
