@@ -1,7 +1,7 @@
 """Exact top-k search of binary codes by incremental multi-index hashing.
 
-A 64-bit code is cut into m segments of about log2(number of codes) bits (at most 16), each an
-index of its own. Round ``s`` probes, for every open query, all segment values at distance
+A 64-bit code is cut into m segments of about log2(number of codes) - 2 bits (at most 16), each an
+index of its own, so that a probe finds some four codes. Round ``s`` probes, for every open query, all segment values at distance
 exactly ``s`` in every index, and verifies the full Hamming distance of what it finds. After
 round ``s`` every code within ``m s + m - 1`` is found, because a code further than ``s`` away in
 all m segments is at least ``m s + m`` away. A query closes when its k-th verified distance is
@@ -54,7 +54,7 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
 
 def segments(n: int) -> list[tuple[int, int]]:
     """(first bit, width) of the segments for n codes."""
-    m = -(-BITS // min(WIDTH, max(LEAST_WIDTH, round(math.log2(max(n, 2))))))
+    m = -(-BITS // min(WIDTH, max(LEAST_WIDTH, round(math.log2(max(n, 2))) - 2)))
     cuts = [BITS * k // m for k in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
