@@ -1,9 +1,16 @@
+import datetime as dt
 import os
 import time
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.fixtures import row, write_hourly
 from vitrine.plans.ingest import IngestConfig, IngestJob
-from vitrine.streaming.ingest import run_ingest_stream
+from vitrine.plans.tables import LakeTable
+from vitrine.streaming.catalog_streams import day_counts
+from vitrine.streaming.ingest import run_ingest_stream, utc_instant
+from vitrine.streaming.late import LateCountDiffers, LateRows, run_with_late_rows
 
 
 def _wait(pred, timeout=90):
@@ -42,22 +49,83 @@ def test_growing_file_is_reread_by_the_tick_stream(spark, tmp):
 def test_stream_restart_from_checkpoint_is_exactly_once(spark, tmp):
     import shutil
 
-    from vitrine.streaming.ingest import read_upserted, run_micro_batches, upsert_batch_writer
+    from vitrine.plans.tables import LakeTable
+    from vitrine.streaming.catalog_streams import _merge_staged
+    from vitrine.streaming.ingest import run_micro_batches
     src = os.path.join(tmp, "in")
     os.makedirs(src)
     shutil.copy("/root/testdata/sf0.001/events.parquet", os.path.join(src, "a.parquet"))
     schema = spark.read.parquet(src).schema
-    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
+    table, ckpt, batches = LakeTable(spark, os.path.join(tmp, "out"), ("event_type",)), os.path.join(tmp, "ckpt"), []
+
+    def handle(batch, batch_id):
+        batches.append(batch_id)
+        _merge_staged(table, batch, ["event_id"], "restart")
 
     def start():
-        s = spark.readStream.schema(schema).parquet(src).select("event_id", "user_id")
-        run_micro_batches(s, upsert_batch_writer(out, ["event_id"]), "restart", checkpoint=ckpt)
+        s = spark.readStream.schema(schema).parquet(src).select("event_id", "user_id", "event_type")
+        run_micro_batches(s, handle, "restart", checkpoint=ckpt)
 
     start()
-    first = read_upserted(spark, out, ["event_id"]).count()
+    assert table.read().count() == 1000
     start()  # restart: the checkpoint says everything was processed
-    assert read_upserted(spark, out, ["event_id"]).count() == first == 1000
+    assert batches == [0]
     shutil.copy("/root/testdata/sf0.001/events.parquet", os.path.join(src, "b.parquet"))
     start()  # a replayed file with the same keys updates, never duplicates
-    assert read_upserted(spark, out, ["event_id"]).count() == 1000
-    assert len([d for d in os.listdir(out) if d.startswith("_batch=")]) == 2
+    assert batches == [0, 1] and table.read().count() == 1000
+
+
+def _pieces(spark, tmp, pieces):
+    """Streams over folders of one file per piece, one after the other."""
+    src = os.path.join(tmp, "src")
+    for k, rows in enumerate(pieces):
+        spark.createDataFrame([(i, dt.datetime.fromisoformat(t)) for i, t in rows], "id int, ts timestamp_ntz").coalesce(1) \
+            .write.mode("append").parquet(src)
+        yield spark.readStream.schema("id int, ts timestamp_ntz").parquet(src).withColumn("event_time", utc_instant("ts"))
+
+
+LATE = [[(1, "2024-01-05 10:00:00"), (2, "2024-01-05 11:00:00")],
+        [(3, "2024-01-05 10:55:00"), (4, "2024-01-05 10:35:00"), (5, "2024-01-05 11:30:00")],  # 5 and 25 minutes late
+        [(6, "2024-01-05 11:20:00"), (7, "2024-01-05 11:19:59.999"), (8, "2024-01-05 11:20:00.001"), (9, "2024-01-05 11:20:00.000001")]]
+
+
+def test_rows_past_the_bound_go_to_the_side_table(spark, tmp):
+    kept, found = [], []
+    late = LateRows(spark, os.path.join(tmp, "late"), 10)
+    for s in _pieces(spark, tmp, LATE):
+        found.append(run_with_late_rows(s, lambda x: x.dropDuplicatesWithinWatermark(["id"]),
+                                        lambda b, i: kept.extend(r["id"] for r in b.collect()), late, os.path.join(tmp, "ckpt"), "late_test"))
+    assert found == [0, 1, 2]  # equal to what the engine dropped, else it raises
+    assert sorted(r["id"] for r in late.rows().collect()) == [4, 6, 7]
+    assert sorted(kept) == [1, 2, 3, 5, 8, 9]
+    assert {r["id"]: r["late_by_us"] for r in late.rows().collect()} == {4: 15 * 60_000_000, 6: 0, 7: 1000}
+
+
+def test_a_replayed_batch_gives_the_same_side_rows(spark, tmp):
+    late = LateRows(spark, os.path.join(tmp, "late"), 10)
+    batches = [spark.createDataFrame([(i, dt.datetime.fromisoformat(t)) for i, t in rows], "id int, ts timestamp_ntz")
+               .withColumn("event_time", utc_instant("ts")) for rows in LATE]
+    for k in (0, 1, 1, 0, 1, 2, 2):
+        late.write(batches[k], k)
+    assert sorted(r["id"] for r in late.rows().collect()) == [4, 6, 7]
+    on_time, after = late.split(batches[1].limit(0), 1)
+    assert on_time.count() == after.count() == 0
+
+
+def test_another_number_than_the_engine_dropped_is_an_error(spark, tmp):
+    late = LateRows(spark, os.path.join(tmp, "late"), 10)
+    late.write = lambda batch, batch_id: batch.withColumn("late_by_us", F.lit(0)).write.mode("overwrite").parquet(f"{late.path}/rows/batch={batch_id}")
+    with pytest.raises(LateCountDiffers):
+        for s in _pieces(spark, tmp, LATE[:1]):
+            run_with_late_rows(s, lambda x: x.dropDuplicatesWithinWatermark(["id"]), lambda b, i: b.collect(), late, os.path.join(tmp, "ckpt"), "late_error")
+
+
+def test_day_counts_keep_only_open_days_in_the_state(spark, tmp):
+    table, state = LakeTable(spark, os.path.join(tmp, "days"), ("month",)), []
+    pieces = [[(k, f"2024-01-{d:02d} {h:02d}:00:00") for k, h in enumerate((1, 9, 17))] for d in range(1, 21)]
+    pieces = [sum(pieces[k:k + 4], []) for k in range(0, 20, 4)]
+    for s in _pieces(spark, tmp, pieces):
+        q = day_counts(s, table, os.path.join(tmp, "ckpt"))
+        state.append([p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress][-1])
+    assert {(str(r["day"]), r["rows"]) for r in table.read().collect()} == {(f"2024-01-{d:02d}", 3) for d in range(1, 21)}
+    assert max(state) <= 1

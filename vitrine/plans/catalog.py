@@ -551,6 +551,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": _stream("stream_ingest"),
     "stream_dedup": _stream("stream_dedup"),
     "stream_day_counts": _stream("stream_day_counts"),
+    "stream_late_rows": _stream("stream_late_rows"),
+    "stream_late_kept": _stream("stream_late_kept"),
 }
 
 
@@ -682,6 +684,24 @@ st AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100.0 AS o_to
 
 _Q_S, _Q_E = "DATE '2000-01-01'", "DATE '2000-03-31'"  # quarter of ARCHIVE_AS_OF
 
+# A row's piece, the newest row of all earlier pieces, and the bound that follows (whole
+# milliseconds, ten minutes before it).
+def _late_sql(select: str) -> str:
+    return f"""
+        WITH own AS (
+          SELECT *, epoch_us(ts) AS at,
+            CASE WHEN ts > TIMESTAMP '2024-01-23' THEN 3 WHEN ts > TIMESTAMP '2024-01-16' THEN 2
+                 WHEN ts > TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END AS piece FROM events),
+        sent AS (
+          SELECT * EXCLUDE piece, piece + CASE WHEN event_id % 3 = 0 AND (
+              (ts > TIMESTAMP '2024-01-07 12:00:00' AND ts <= TIMESTAMP '2024-01-08')
+              OR (ts > TIMESTAMP '2024-01-15 12:00:00' AND ts <= TIMESTAMP '2024-01-16')
+              OR (ts > TIMESTAMP '2024-01-22 12:00:00' AND ts <= TIMESTAMP '2024-01-23')) THEN 1 ELSE 0 END AS piece FROM own),
+        newest AS (SELECT p.piece, max(s.at) AS seen FROM (SELECT DISTINCT piece FROM sent) p JOIN sent s ON s.piece < p.piece GROUP BY p.piece),
+        marked AS (SELECT sent.*, (seen // 1000 - 600000) * 1000 AS bound FROM sent LEFT JOIN newest USING (piece))
+        {select}"""
+
+
 ORACLE: dict[str, str] = {
     "scan_position": "SELECT l_orderkey AS lite_id, l_partkey AS cap_id, l_linenumber, "
                      "CAST((((l_partkey - l_orderkey) % 4096) + 4096) % 4096 AS BIGINT) AS scan_position "
@@ -813,6 +833,8 @@ ORACLE: dict[str, str] = {
                      "FROM events",
     "stream_dedup": "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H') AS hour_key FROM events",
     "stream_day_counts": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
+    "stream_late_rows": _late_sql("SELECT event_id, user_id, event_type, CAST(bound - at AS BIGINT) AS late_by_us FROM marked WHERE at <= bound"),
+    "stream_late_kept": _late_sql("SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H') AS hour_key FROM marked WHERE bound IS NULL OR at > bound"),
 }
 
 

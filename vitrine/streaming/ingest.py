@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vitrine.session import fresh_dir
 
-__all__ = ["utc_instant", "day_of_instant", "run_micro_batches", "upsert_batch_writer"]
+__all__ = ["utc_instant", "day_of_instant", "run_micro_batches", "run_ingest_stream"]
 
 
 def utc_instant(col) -> Column:
@@ -55,26 +55,6 @@ def run_micro_batches(stream: DataFrame, handle_batch, name: str, available_now:
     return q
 
 
-def upsert_batch_writer(path: str, keys, partition_cols=()):
-    """foreachBatch handler that upserts each micro-batch into a Parquet table folder.
-
-    The batch is written under ``path/batch_id=<n>`` in overwrite mode, so a batch that
-    is re-run after a failure replaces its own output instead of duplicating it; the
-    table view takes the latest row per key across batches (see ``read_upserted``).
-    """
-    def handle(batch: DataFrame, batch_id: int):
-        out = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
-        (out.write.mode("overwrite").partitionBy(*partition_cols)
-         .parquet(f"{path}/_batch={batch_id}"))
-    return handle
-
-
-def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
-    from vitrine.operators.sequence import last_write_wins
-    df = spark.read.option("basePath", path).parquet(f"{path}/_batch=*")
-    return last_write_wins(df, list(keys), [F.col("_batch").desc()]).drop("_batch")
-
-
 def run_ingest_stream(job, every: str = "2 minutes", clock=None, checkpoint: str | None = None):
     """Growing-file ingest on a timer: each micro-batch of a ``rate`` tick stream runs
     one ``IngestJob.run`` (listing -> size watermark -> re-read of changed files ->
