@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import Generations, slices, table
+from vitrine.llm.common import Generations, claim, slices, table
 
 #: Bytes of encoded chunks kept per Python worker.
 CACHE_BYTES = 256 << 20
@@ -230,6 +230,7 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 def codec(path: str, pattern: str) -> Codec:
     """One codec per Python worker process (workers are reused between tasks)."""
+    claim("byte_bpe", _CODECS.clear)
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]

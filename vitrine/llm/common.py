@@ -3,7 +3,7 @@ text batches for Arrow functions, and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,18 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, max_bytes: int = 4
             lo = hi
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, release: Callable[[], None] | None = None) -> None:
+    """Called by an operator's code in a Python worker: workers outlive stages, so what other
+    operators keep there goes now; ``release`` drops what this one is about to keep."""
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    if release is not None:
+        _HELD[owner] = release
+
+
 class Generations:
     """A cache of one Python worker, bounded in bytes. Entries live in a young generation; when
     it is full it becomes the old one, and what is not asked for during a whole generation goes.

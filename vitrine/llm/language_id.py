@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import crc32_mod, slices, table
+from vitrine.llm.common import claim, crc32_mod, slices, table
 
 BUCKETS = 1 << 16
 BLOCK = 1 << 12
@@ -37,7 +37,7 @@ PENALTY = 1.0
 FOLDS = 5
 UNDETERMINED = "und"
 #: Text bytes handled at a time by one task.
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 _LETTERS: list[np.ndarray] = []
 
@@ -84,6 +84,7 @@ class LanguageModel:
 def trigram_counts(rows: DataFrame) -> DataFrame:
     """(lang, block, counts): letter trigrams of the rows (text, lang), summed."""
     def count(batches):
+        claim("language_id")
         held: dict[str, np.ndarray] = {}
         for b in slices(batches, "text", SLICE):
             langs = b.column("lang").to_pylist()
@@ -188,6 +189,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs.tobytes()))
 
     def run(batches):
+        claim("language_id")
         langs, raw = shared.value
         m = LanguageModel(langs, np.frombuffer(raw, np.float32).reshape(BUCKETS, len(langs)))
         for b in slices(batches, "text", SLICE):

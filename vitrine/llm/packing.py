@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.llm.byte_bpe import text_chunks
-from vitrine.llm.common import slices, table, written
+from vitrine.llm.common import claim, slices, table, written
 
 SEQ_LEN = 1024
 END_ID = 0
@@ -117,6 +117,7 @@ _ENCODERS: dict[tuple[str, str], ByteLevelEncoder] = {}
 
 def encoder(path: str, pattern: str) -> ByteLevelEncoder:
     """One encoder per Python worker process."""
+    claim("packing", _ENCODERS.clear)
     if (path, pattern) not in _ENCODERS:
         _ENCODERS[path, pattern] = ByteLevelEncoder(path, pattern)
     return _ENCODERS[path, pattern]
@@ -201,7 +202,7 @@ def token_rows(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, cols:
         end = np.array([end_id], enc.wide).tobytes()
         width = len(end)
         queue: dict = {}
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 1 << 20):
             ids = [x + end for x in enc.encode([x or "" for x in b.column("text").to_pylist()])]
             n = [len(x) // width for x in ids]
             begin = []

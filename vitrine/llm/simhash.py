@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import connected_components, slices, table, written
+from vitrine.llm.common import claim, connected_components, slices, table, written
 
 SEED = 42
 
@@ -62,7 +62,8 @@ def fingerprint_slice(texts: list, shingle: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, rid, fp) of every row; rid tells rows that share a doc_id apart by their text."""
     def run(batches):
-        for b in slices(batches, "text"):
+        claim("simhash")
+        for b in slices(batches, "text", 1 << 20):
             fp = fingerprint_slice(b.column("text").to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("rid"), pa.array(fp.view(np.int64))], names=["doc_id", "rid", "fp"])
 

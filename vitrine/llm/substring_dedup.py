@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import SPACE_CLASS, slices, table, written
+from vitrine.llm.common import claim, SPACE_CLASS, slices, table, written
 
 WINDOW = 50
 #: Words of the runs among which a window's minimizer is chosen.
@@ -68,6 +68,11 @@ _HASHES = _WordHashes()
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _forget() -> None:
+    _HASHES.clear()
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2**64 (at least n of each)."""
     if len(_POWERS[0]) < n:
@@ -140,6 +145,7 @@ def window_sketch(src: DataFrame, cells: int, window: int, run: int, depth: int)
     per_row = cells // CHUNK
 
     def count(batches):
+        claim("substring_dedup", _forget)
         held: list[np.ndarray] = []
         for b in slices(batches, "text", SLICE):
             (doc, _, _, key, _), _ = slice_windows([split_words(x) for x in b.column("text").to_pylist()], window, run)
