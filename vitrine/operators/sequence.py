@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["with_event_seq", "last_write_wins", "null_safe_keys"]
+__all__ = ["with_event_seq", "last_write_wins", "mark_last_write", "null_safe_keys"]
 
 
 def _order(cols) -> list[Column]:
@@ -70,6 +70,12 @@ def with_event_seq(df: DataFrame, keys, order_cols, scope_cols=(), split_col: st
     return res.drop(*gk, "_sq_local", "_sq_off")
 
 
+def mark_last_write(df: DataFrame, keys, order_cols, out: str = "is_last") -> DataFrame:
+    """All rows, with whether ``last_write_wins`` would keep the row."""
+    w = Window.partitionBy(*keys).orderBy(*_order(order_cols))
+    return df.withColumn(out, F.row_number().over(w) == 1)
+
+
 def last_write_wins(df: DataFrame, keys, order_cols) -> DataFrame:
     """Keep one row per key: the first by ``order_cols`` (put the latest load first)."""
     w = Window.partitionBy(*keys).orderBy(*_order(order_cols))

@@ -25,21 +25,17 @@ def current_watermark(log: DataFrame) -> DataFrame:
         .select("file_key", "_w.size", "_w.modified")
 
 
-def file_changes(files: DataFrame, watermark: DataFrame, broadcast_watermark: bool = False,
-                 compare_mtime: bool = False) -> DataFrame:
+def file_changes(files: DataFrame, watermark: DataFrame, compare_mtime: bool = False) -> DataFrame:
     """files (file_key, size, ...) x watermark (file_key, size) -> action per file.
 
     A file without a watermark has previous size 0. Equal size -> unchanged, larger ->
     updated (appended), smaller -> recreated. With ``compare_mtime`` an equal-size file
     with a newer modification time counts as updated (a rewrite the size alone misses).
-    ``broadcast_watermark`` is for callers that have checked its size.
     """
     cols = [F.col("size").alias("prev_size")]
     if compare_mtime:
         cols.append(F.col("modified").alias("prev_modified"))
     wm = watermark.select("file_key", *cols)
-    if broadcast_watermark:
-        wm = F.broadcast(wm)
     j = files.join(wm, "file_key", "left") \
         .withColumn("prev_size", F.coalesce("prev_size", F.lit(0)).cast("bigint"))
     same = F.col("size") == F.col("prev_size")

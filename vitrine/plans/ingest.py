@@ -4,8 +4,9 @@ One run = one micro-batch:
   list files (sizes only) -> pick the current/previous hour (or a back-fill range)
   -> compare with the size watermark, keep changed files
   -> header-mapped read -> clean / type -> quarantine rows without event time
-  -> event_seq per file (skew-safe, split-aware) -> last write wins across files
-  -> staging copy -> merge into touched day/hour partitions
+  -> event_seq per file (skew-safe, split-aware) -> staging copy of all rows, the last
+     write of every key marked -> what each file changes (inserted, updated, unchanged)
+  -> merge of the last writes into touched day/hour partitions
   -> run log (never blocks) -> watermark (only after the table is written)
   -> journal 'committed'.
 A run that dies anywhere before the watermark append is simply repeated by the next
@@ -17,19 +18,21 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.operators.sequence import last_write_wins
+from vitrine.operators.merge import change_set, changes_per_file
+from vitrine.operators.sequence import mark_last_write
 from vitrine.operators.watermark import current_watermark, file_changes, watermark_entries
 from vitrine.plans import transform as tf
 from vitrine.plans.tables import LakeTable, MergeJournal, append_log, delete_path, path_exists
 from vitrine.session import shared_dir
 from vitrine.sources.listing import list_hourly_logs, select_ingest_files
 from vitrine.sources.logscan import path_key, read_log
-from vitrine.spec import (CUT2_MERGE_KEYS, REQUIRED_FILE_COLUMNS, RUN_MESSAGE_LIMIT,
+from vitrine.spec import (CUT2_MERGE_KEYS, EXTRACTION_COLUMN, REQUIRED_FILE_COLUMNS, RUN_MESSAGE_LIMIT,
                           TRANSITION_WINDOW_MINUTES)
 
 __all__ = ["IngestConfig", "IngestJob"]
@@ -63,6 +66,9 @@ class IngestJob:
         self.run_log_path = f"{st}/run_log"
         self.rejected_path = f"{st}/rejected_rows"
         self.journal = MergeJournal(spark, f"{st}/journal")
+        #: Called with the name of every point a run passes (see ``LakeTable.merge``, and
+        #: 'logged', 'watermarked'); a test that raises here stands for a job that dies there.
+        self.at: Callable[[str], None] = lambda point: None
 
     # -- state ---------------------------------------------------------------------
     def watermark(self, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -86,6 +92,9 @@ class IngestJob:
                 append_log(self.spark.read.parquet(wm), self.watermark_path,
                            partition_col="file_date")
             self.journal.record(batch_id, staging, "committed")
+            base = shared_dir(self.spark, "staging", batch_id)
+            for path in (staging, wm, f"{base}_parsed", f"{base}_staged"):  # what the dead run left
+                delete_path(self.spark, path)
             done.append(batch_id)
         return done
 
@@ -105,6 +114,11 @@ class IngestJob:
     # -- selection -----------------------------------------------------------------
     def changed_files(self, run_ts: str | None = None, start: str | None = None,
                       end: str | None = None) -> DataFrame:
+        return self.file_actions(run_ts, start, end).where(F.col("action") != "unchanged")
+
+    def file_actions(self, run_ts: str | None = None, start: str | None = None,
+                     end: str | None = None) -> DataFrame:
+        """The run's files against the watermark: unchanged, updated (grown, new), recreated."""
         if start is None:
             run = dt.datetime.fromisoformat(run_ts)
             days = str((run - dt.timedelta(hours=1)).date()), str(run.date())
@@ -119,8 +133,7 @@ class IngestJob:
             sel = sel.withColumn("load_order", F.unix_timestamp(F.col("file_hour").cast("timestamp")))
         else:
             sel = select_ingest_files(listing, run_ts, self.cfg.window_minutes)
-        return file_changes(sel, wm, compare_mtime=self.cfg.compare_mtime) \
-            .where(F.col("action") != "unchanged")
+        return file_changes(sel, wm, compare_mtime=self.cfg.compare_mtime)
 
     # -- run -------------------------------------------------------------------------
     def run(self, run_ts: str | None = None, start: str | None = None, end: str | None = None,
@@ -169,17 +182,17 @@ class IngestJob:
                    self.rejected_path)
         seq = tf.sequence_hourly(good.where(F.col("time").isNotNull()))
         seq = tf.zero_id_rule(seq, enabled=cfg.zero_id_rule)
-        seq = last_write_wins(seq, list(cfg.keys), [F.col("load_order").desc(),
-                                                    F.col("row_pos").desc()])
+        seq = mark_last_write(seq, list(cfg.keys), [F.col("load_order").desc(), F.col("row_pos").desc()])
         staged_path = shared_dir(spark, "staging", f"{batch_id}_staged")
-        seq.select(*tf.table_exprs(), "file_key").write.mode("overwrite").parquet(staged_path)
+        own = ["file_key", "load_order", "row_pos", "is_last"]
+        seq.select(*tf.table_exprs(), *own).write.mode("overwrite").parquet(staged_path)
         staged = spark.read.parquet(staged_path)
-        staged_cols = [c for c in staged.columns if c != "file_key"]
-        per_file = {r["file_key"]: r["rows"] for r in
-                    staged.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        changes = self._changes(staged, [c for c in staged.columns if c not in own])
+        per_file = {r["file_key"]: r["rows"] for r in changes.values()}
 
-        stats = self.table.merge(staged.select(*staged_cols), list(cfg.keys), cfg.merge_mode,
-                                 journal=self.journal, batch_id=batch_id, commit=False)
+        last = staged.where("is_last").drop(*own)
+        stats = self.table.merge(last, list(cfg.keys), cfg.merge_mode, journal=self.journal, batch_id=batch_id,
+                                 commit=False, at=self.at)
         ok_files = [r for r in todo if path_key(r["path"]) not in rejected]
         now = _now()
         log_rows = [(r["file_key"], int(per_file.get(r["file_key"], 0)),
@@ -189,12 +202,14 @@ class IngestJob:
         append_log(spark.createDataFrame(log_rows, "file_name string, total_registros bigint, "
                                          "status string, mensagem string, batch_id string, "
                                          "logged_at timestamp_ntz"), self.run_log_path, guarded=True)
+        self.at("logged")
         if ok_files:
             stored = spark.createDataFrame([r.asDict() for r in ok_files], files.schema)
             wm = watermark_entries(stored, batch_id, now)
             if stats.get("staging"):
                 wm.write.mode("overwrite").parquet(f"{stats['staging']}_watermark")
             append_log(wm, self.watermark_path, partition_col="file_date")
+        self.at("watermarked")
         if stats.get("staging"):
             self.journal.record(batch_id, stats["staging"], "committed")
         # nothing needs the copies once the journal says committed
@@ -203,5 +218,15 @@ class IngestJob:
                 delete_path(spark, path)
         return {"batch_id": batch_id, "files": len(todo), "rows": int(sum(per_file.values())),
                 "rejected_files": rejected, "rows_per_file": per_file,
+                "changes": {k: {c: r[c] for c in ("staged", "inserted", "updated", "unchanged", "ignored")} for k, r in changes.items()},
                 "status": "error" if rejected else "success"}
 
+    def _changes(self, staged: DataFrame, columns: list[str]) -> dict:
+        """What each file of the batch does to the table, file after file: one row a file."""
+        first = self.cfg.partition_cols[0]
+        ends = staged.agg(F.min(first).alias("a"), F.max(first).alias("b")).first()
+        existing = self.table.touched(staged, ends["a"], ends["b"]) if self.table.exists() else staged.limit(0)
+        changes = change_set(existing.select(*columns), staged, self.cfg.keys, ["load_order", "row_pos"],
+                             ignore=(EXTRACTION_COLUMN, *self.cfg.partition_cols), mode=self.cfg.merge_mode)
+        return {r["file_key"]: r for r in changes_per_file(changes).collect()}
+

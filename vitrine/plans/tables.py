@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -72,14 +73,15 @@ class LakeTable:
 
     def merge(self, staged: DataFrame, keys, mode: str = "update", staging: str | None = None,
               journal: "MergeJournal | None" = None, batch_id: str | None = None,
-              commit: bool = True) -> dict:
+              commit: bool = True, at: Callable[[str], None] | None = None) -> dict:
         """Merge a (materialised) batch into the touched partitions. Returns stats.
 
         The table is read between the batch's smallest and largest value of the first
         partition column (static pruning) and joined to the batch's distinct partitions, so
         neither a list of partitions nor a predicate per partition is built. With a journal
         and ``commit`` the batch is recorded as committed and its staged copy removed;
-        otherwise the caller does both after its own bookkeeping."""
+        otherwise the caller does both after its own bookkeeping. ``at`` is called with the name
+        of every point passed: 'staged' (the journal knows the copy), 'overwritten', 'committed'."""
         spark = self.spark
         batch_id = batch_id or uuid.uuid4().hex
         staging = staging or shared_dir(spark, "staging", batch_id)
@@ -89,11 +91,9 @@ class LakeTable:
                             F.count_distinct(F.struct(*cols)).alias("p")).first()
         if not bounds["n"]:
             return {"batch_id": batch_id, "staged_rows": 0, "partitions": 0}
+        at = at or (lambda point: None)
         if self.exists():
-            touched = staged.select(*[F.col(c).alias(f"_t_{c}") for c in cols]).distinct()
-            same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in cols])
-            near = F.col(first).between(F.lit(bounds["a"]), F.lit(bounds["b"])) | F.col(first).isNull()
-            existing = self.read().where(near).join(touched, same, "left_semi").select(*staged.columns)
+            existing = self.touched(staged, bounds["a"], bounds["b"]).select(*staged.columns)
             merged = (upsert if mode == "update" else insert_ignore)(existing, staged, keys)
         else:
             merged = staged
@@ -104,14 +104,26 @@ class LakeTable:
         merged.write.mode("overwrite").partitionBy(*cols).parquet(staging)
         if journal is not None:
             journal.record(batch_id, staging, "staged")
+        at("staged")
         self.overwrite_from(staging)
+        at("overwritten")
         if commit:
             if journal is not None:
                 journal.record(batch_id, staging, "committed")
+            at("committed")
             delete_path(spark, staging)
         return {"batch_id": batch_id, "staged_rows": bounds["n"], "partitions": bounds["p"],
                 "staging": staging}
 
+    def touched(self, staged: DataFrame, low, high) -> DataFrame:
+        """Stored rows of the partitions that ``staged`` holds rows of; ``low`` and ``high``: its
+        smallest and largest value of the first partition column."""
+        cols = list(self.partition_cols)
+        wanted = staged.select(*[F.col(c).alias(f"_t_{c}") for c in cols]).distinct()
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in cols])
+        near = F.col(cols[0]).between(F.lit(low), F.lit(high)) | F.col(cols[0]).isNull()
+        return self.read().where(near).join(wanted, same, "left_semi")
+
     def finish(self, batch_id: str, staging: str, journal: "MergeJournal") -> None:
         """Complete an interrupted overwrite from its staged copy."""
         if path_exists(self.spark, staging):
