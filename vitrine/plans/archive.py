@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +49,16 @@ def archive_registry(spark: SparkSession, root: str, base: str, as_of: str | dt.
 
 
 def archive_quarter(spark: SparkSession, table: LakeTable, table_name: str, base: str,
-                    as_of: str | dt.date, day_col: str = "event_date", drop: bool = True) -> dict:
+                    as_of: str | dt.date, day_col: str = "event_date", drop: bool = True,
+                    after_write: Callable[[str], None] | None = None) -> dict:
     """Export the previous quarter of ``table`` and remove the days that were verified.
 
     * the period is the quarter of ``as_of - 15 days``; an open quarter is refused;
     * output ``{base}/{table}/{start}_a_{end}/``, day-partitioned, replacing any
       partial output of an earlier attempt;
-    * verification re-reads the written files and compares rows per day with the
-      source; only equal days are dropped, each as a whole partition.
+    * verification re-reads the written files and compares the number and the contents of
+      the rows per day with the source; only equal days are dropped, each as a whole partition.
+      ``after_write`` is called with the archive's path before that (tests change a file there).
     """
     start, end = arch.quarter_range(as_of)
     period = f"{start}{ARCHIVE_PERIOD_SEPARATOR}{end}"
@@ -63,6 +66,8 @@ def archive_quarter(spark: SparkSession, table: LakeTable, table_name: str, base
     src = table.read_days(start, end, day_col)
     (src.write.mode("overwrite").option("compression", ARCHIVE_CODEC)
      .partitionBy(day_col).parquet(out))
+    if after_write is not None:
+        after_write(out)
     archived = spark.read.parquet(out)
     checks = arch.validate_counts(src, archived, day_col).orderBy("day").collect()
     totals = archived.agg(F.count(F.lit(1)).alias("rows"),

@@ -15,7 +15,6 @@ itself (orders vs shipments, and the optional zero-ID rule on the CUT2 load).
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +32,7 @@ from vitrine.operators.merge import conform, insert_ignore, upsert
 from vitrine.operators.sequence import last_write_wins, with_event_seq
 from vitrine.operators.watermark import file_changes
 from vitrine.plans import transform as tf
-from vitrine.plans.archive import archive_quarter
-from vitrine.plans.tables import LakeTable
-from vitrine.session import fresh_dir
+from vitrine.plans import job_queries
 from vitrine.spec import (CUT2_SCHEMA, KEY_LABEL_COMPOSITE, KEY_LABEL_PLATE,
                           NOTE_NO_LOG, NOTE_NO_LOG_CUT2)
 
@@ -439,8 +436,7 @@ def lineitem_raw(li: DataFrame) -> DataFrame:
 
 def q_ingest_result(spark, d):
     rows = tf.clean_hourly(lineitem_raw(_t(spark, d, "lineitem")), RUN_TS, require_all=False)
-    staged = conform(tf.sequence_hourly(rows, split_col=None), CUT2_SCHEMA,
-                     extra=[F.col("file_key")])
+    staged = conform(rows.withColumn("event_seq", F.lit(0)), CUT2_SCHEMA, extra=[F.col("file_key")])
     return staged.groupBy("file_key").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("scan_position").alias("rows_with_position"),
@@ -458,49 +454,6 @@ def q_archive_scan(spark, d):
     return arch.archive_scan(_archive_table(spark, d), s, e)
 
 
-_ARCHIVE_RUNS: dict = {}
-
-
-def _archive_run(spark, d):
-    """The archive job over a day-partitioned copy of orders in the shared folder: the table
-    after the run, the job's report, and the written archive. One run serves the queries that
-    look at different results of it."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _ARCHIVE_RUNS:
-        base = fresh_dir(spark, "catalog", "archive")
-        _archive_table(spark, d).repartition("event_date").write.partitionBy("event_date").parquet(f"{base}/orders")
-        table = LakeTable(spark, f"{base}/orders")
-        report = archive_quarter(spark, table, "orders", f"{base}/archive", ARCHIVE_AS_OF)
-        _ARCHIVE_RUNS[key] = (table, report)
-    table, report = _ARCHIVE_RUNS[key]
-    return table, report, spark.read.parquet(report["path"])
-
-
-def q_archive_totals(spark, d):
-    _, report, written = _archive_run(spark, d)
-    return written.agg(F.count(F.lit(1)).alias("rows"),
-                       F.countDistinct("event_date").alias("partitions")) \
-        .withColumn("period", F.lit(report["period"]))
-
-
-def q_archive_validate(spark, d):
-    """Source rows against the rows read back from the written archive, per day."""
-    s, e = arch.quarter_range(ARCHIVE_AS_OF)
-    _, _, written = _archive_run(spark, d)
-    return arch.validate_counts(arch.archive_scan(_archive_table(spark, d), s, e), written)
-
-
-def q_retention_keep(spark, d):
-    """What the table holds after the validated day partitions were dropped."""
-    return _archive_run(spark, d)[0].read().select("o_orderkey", "event_date")
-
-
-def q_retention_counts(spark, d):
-    _, report, _ = _archive_run(spark, d)
-    rows = [(dt.date.fromisoformat(k), n) for k, n in report["deleted_per_day"].items()]
-    return spark.createDataFrame(rows, "day date, deleted bigint")
-
-
 def _stream(name):
     def run(spark, d):
         from vitrine.streaming import catalog_streams
@@ -544,10 +497,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_replay": q_upsert_replay,
     "ingest_result": q_ingest_result,
     "archive_scan": q_archive_scan,
-    "archive_totals": q_archive_totals,
-    "archive_validate": q_archive_validate,
-    "retention_keep": q_retention_keep,
-    "retention_counts": q_retention_counts,
     "stream_ingest": _stream("stream_ingest"),
     "stream_dedup": _stream("stream_dedup"),
     "stream_day_counts": _stream("stream_day_counts"),
@@ -689,7 +638,7 @@ _Q_S, _Q_E = "DATE '2000-01-01'", "DATE '2000-03-31'"  # quarter of ARCHIVE_AS_O
 def _late_sql(select: str) -> str:
     return f"""
         WITH own AS (
-          SELECT *, epoch_us(ts) AS at,
+          SELECT *, epoch_us(ts) AS us,
             CASE WHEN ts > TIMESTAMP '2024-01-23' THEN 3 WHEN ts > TIMESTAMP '2024-01-16' THEN 2
                  WHEN ts > TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END AS piece FROM events),
         sent AS (
@@ -697,7 +646,7 @@ def _late_sql(select: str) -> str:
               (ts > TIMESTAMP '2024-01-07 12:00:00' AND ts <= TIMESTAMP '2024-01-08')
               OR (ts > TIMESTAMP '2024-01-15 12:00:00' AND ts <= TIMESTAMP '2024-01-16')
               OR (ts > TIMESTAMP '2024-01-22 12:00:00' AND ts <= TIMESTAMP '2024-01-23')) THEN 1 ELSE 0 END AS piece FROM own),
-        newest AS (SELECT p.piece, max(s.at) AS seen FROM (SELECT DISTINCT piece FROM sent) p JOIN sent s ON s.piece < p.piece GROUP BY p.piece),
+        newest AS (SELECT p.piece, max(s.us) AS seen FROM (SELECT DISTINCT piece FROM sent) p JOIN sent s ON s.piece < p.piece GROUP BY p.piece),
         marked AS (SELECT sent.*, (seen // 1000 - 600000) * 1000 AS bound FROM sent LEFT JOIN newest USING (piece))
         {select}"""
 
@@ -818,26 +767,20 @@ ORACLE: dict[str, str] = {
         FROM (SELECT l_shipdate, {_S_MEASURE} AS m, {_S_RESULT} AS tr FROM lineitem) GROUP BY 1""",
     "archive_scan": f"SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date FROM orders "
                     f"WHERE CAST(o_orderdate AS DATE) BETWEEN {_Q_S} AND {_Q_E}",
-    "archive_totals": f"SELECT count(*) AS rows, count(DISTINCT CAST(o_orderdate AS DATE)) AS partitions, "
-                      f"'2000-01-01_a_2000-03-31' AS period FROM orders "
-                      f"WHERE CAST(o_orderdate AS DATE) BETWEEN {_Q_S} AND {_Q_E}",
-    "archive_validate": f"SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS source_rows, "
-                        f"count(*) AS archived_rows, true AS valid FROM orders "
-                        f"WHERE CAST(o_orderdate AS DATE) BETWEEN {_Q_S} AND {_Q_E} GROUP BY 1",
-    "retention_keep": f"SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date FROM orders "
-                      f"WHERE NOT (CAST(o_orderdate AS DATE) BETWEEN {_Q_S} AND {_Q_E}) OR o_orderdate IS NULL",
-    "retention_counts": f"SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS deleted FROM orders "
-                        f"WHERE CAST(o_orderdate AS DATE) BETWEEN {_Q_S} AND {_Q_E} GROUP BY 1",
     "stream_ingest": "SELECT event_id, user_id, event_type, CAST(row_number() OVER (PARTITION BY "
                      "date_trunc('hour', ts), user_id, event_type ORDER BY event_id) - 1 AS BIGINT) AS event_seq "
                      "FROM events",
     "stream_dedup": "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H') AS hour_key FROM events",
     "stream_day_counts": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
-    "stream_late_rows": _late_sql("SELECT event_id, user_id, event_type, CAST(bound - at AS BIGINT) AS late_by_us FROM marked WHERE at <= bound"),
-    "stream_late_kept": _late_sql("SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H') AS hour_key FROM marked WHERE bound IS NULL OR at > bound"),
+    "stream_late_rows": _late_sql("SELECT event_id, user_id, event_type, CAST(bound - us AS BIGINT) AS late_by_us FROM marked WHERE us <= bound"),
+    "stream_late_kept": _late_sql("SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H') AS hour_key FROM marked WHERE bound IS NULL OR us > bound"),
 }
 
 
+QUERIES |= job_queries.QUERIES
+ORACLE |= job_queries.ORACLE
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

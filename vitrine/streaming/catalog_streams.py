@@ -56,7 +56,9 @@ def renumber(table: LakeTable, batch: DataFrame, batch_id: int) -> None:
 
 def _merge_staged(table: LakeTable, rows: DataFrame, keys, label: str, mode: str = "update") -> None:
     """Merge through a written copy and a journal; an overwrite that an earlier try of the
-    stream left half done is finished first. The copy goes afterwards."""
+    stream left half done is finished first. The copy goes afterwards. The batch is evaluated
+    once, by writing it: every further action would run its stateful operators (and count the
+    rows they drop) again."""
     journal = MergeJournal(table.spark, f"{table.path.rstrip('/')}_journal")
     for batch, staging in journal.pending():
         table.finish(batch, staging, journal)
@@ -88,8 +90,7 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     keys = ["user_id", "event_type", "hour_key"]
 
     def handle(batch: DataFrame, batch_id: int):
-        if not batch.isEmpty():
-            _merge_staged(table, batch.withColumn("day", F.substring("hour_key", 1, 10)), keys, f"dedup_{batch_id}", "ignore")
+        _merge_staged(table, batch.withColumn("day", F.substring("hour_key", 1, 10)), keys, f"dedup_{batch_id}", "ignore")
 
     def run(events: DataFrame):
         s = events.withWatermark("event_time", LATE).withColumn("hour_key", F.date_format("ts", "yyyy-MM-dd HH"))
@@ -107,8 +108,7 @@ def day_counts(events: DataFrame, table: LakeTable, checkpoint: str):
         .agg(F.count(F.lit(1)).alias("rows")).select(day_of_instant(F.col("window.start")).alias("day"), "rows")
 
     def handle(batch: DataFrame, batch_id: int):
-        if not batch.isEmpty():
-            _merge_staged(table, batch.withColumn("month", F.trunc("day", "month")), ["day"], f"days_{batch_id}")
+        _merge_staged(table, batch.withColumn("month", F.trunc("day", "month")), ["day"], f"days_{batch_id}")
 
     query = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
              .foreachBatch(handle).trigger(availableNow=True).start())
@@ -144,8 +144,7 @@ def _late_run(spark: SparkSession, d: str) -> tuple[LakeTable, LateRows]:
     ckpt = fresh_dir(spark, "streams", "stream_late")
 
     def sink(batch: DataFrame, batch_id: int):
-        if not batch.isEmpty():
-            _merge_staged(table, batch.withColumn("day", F.substring("hour_key", 1, 10)), keys, f"late_{batch_id}", "ignore")
+        _merge_staged(table, batch.withColumn("day", F.substring("hour_key", 1, 10)), keys, f"late_{batch_id}", "ignore")
 
     def unique(events: DataFrame) -> DataFrame:
         return events.withColumn("hour_key", F.date_format("ts", "yyyy-MM-dd HH")).dropDuplicatesWithinWatermark(keys).select(*keys)

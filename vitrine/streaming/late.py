@@ -74,8 +74,8 @@ def dropped_by_watermark(query) -> int:
 
 def run_with_late_rows(stream: DataFrame, stateful: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None],
                        late: LateRows, checkpoint: str, name: str) -> int:
-    """Process what is new in ``stream``: ``stateful(stream with its watermark)`` into ``sink``,
-    and the late rows into their side table. Returns how many there were; raises when the engine
+    """Process what is new in ``stream``: ``stateful(stream with its watermark)`` into ``sink``
+    (which evaluates a batch once), and the late rows into their side table. Returns how many there were; raises when the engine
     dropped another number."""
     before = late.rows().count() if path_exists(late.spark, f"{late.path}/rows") else 0
     marked = stream.withWatermark(late.time_col, f"{late.delay_minutes} minutes")
