@@ -125,3 +125,20 @@ def test_a_half_done_merge_is_finished_from_the_journal(spark, tmp, point):
         table.finish(batch, staging, journal)
     assert {(r["k"], r["v"]) for r in table.read().collect()} == {(k, int(k > 5)) for k in range(12)}
     assert journal.pending() == []
+
+
+def test_a_day_range_lists_only_its_folders(spark, tmp):
+    table = LakeTable(spark, os.path.join(tmp, "t"))
+    first = dt.date(2020, 1, 1)
+    rows = spark.range(600).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") < 590, F.expr("date_add(date'2020-01-01', cast(id % 300 as int))")).alias("event_date"))
+    rows.repartition(4, "event_date").write.partitionBy("event_date").parquet(table.path)
+    got = table.read_days("2020-02-01", "2020-02-03")
+    assert sorted({f.split("event_date=")[1][:10] for f in got.inputFiles()}) == ["2020-02-01", "2020-02-02", "2020-02-03"]
+    assert sorted(r["k"] for r in got.collect()) == [31, 32, 33, 331, 332, 333]
+    assert table.read_days("2019-01-01", "2019-12-31").count() == 0
+    batch = spark.createDataFrame([(31, first + dt.timedelta(31)), (595, None), (9, dt.date(2025, 1, 1))], "k int, event_date date")
+    near = table.touched(batch.where("event_date < '2024-01-01' or event_date is null"), first + dt.timedelta(31), first + dt.timedelta(31))
+    assert sorted(r["k"] for r in near.collect()) == [31, 331, *range(590, 600)]
+    assert len({f.split("event_date=")[1].split("/")[0] for f in near.inputFiles()}) == 2
+    table.merge(batch, ["k", "event_date"])
+    assert table.read().count() == 601 and table.read().where("event_date is null").count() == 10

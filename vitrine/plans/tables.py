@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.merge import insert_ignore, upsert
 from vitrine.session import shared_dir
-from vitrine.sources.fs import delete_path, path_exists
+from vitrine.sources.fs import delete_path, glob_paths, path_exists
 
 __all__ = ["LakeTable", "MergeJournal", "append_log", "path_exists", "delete_path"]
 
+# Folder of rows whose partition column is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Tasks that may share one partition's rows when it is written.
 WRITE_SALTS = 8
 
@@ -68,8 +70,22 @@ class LakeTable:
         return self.spark.read.parquet(self.path)
 
     def read_days(self, start, end, day_col: str = "event_date") -> DataFrame:
-        return self.read().where(F.col(day_col).between(F.lit(str(start)).cast("date"),
-                                                        F.lit(str(end)).cast("date")))
+        """Rows of the days [start, end]. Where the day is the first partition column, only the
+        folders of those days are listed (one look at the table's own folder finds them)."""
+        days = self.read() if day_col != self.partition_cols[0] else self._folders(str(start), str(end))
+        return days.where(F.col(day_col).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+
+    def _folders(self, low: str, high: str, nulls: bool = False) -> DataFrame:
+        """The table limited to first-level partitions with a day from ``low`` to ``high``."""
+        mark = f"{self.partition_cols[0]}="
+        keep = []
+        for path in glob_paths(self.spark, f"{self.path.rstrip('/')}/{mark}*"):
+            value = path.rstrip("/").rsplit(mark, 1)[1]
+            if low <= value <= high or (nulls and value == NULL_PARTITION):
+                keep.append(path)
+        if not any(not p.endswith(NULL_PARTITION) for p in keep):
+            return self.read()  # no such day: the schema comes from the whole table
+        return self.spark.read.option("basePath", self.path).parquet(*keep)
 
     def merge(self, staged: DataFrame, keys, mode: str = "update", staging: str | None = None,
               journal: "MergeJournal | None" = None, batch_id: str | None = None,
@@ -122,7 +138,9 @@ class LakeTable:
         wanted = staged.select(*[F.col(c).alias(f"_t_{c}") for c in cols]).distinct()
         same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in cols])
         near = F.col(cols[0]).between(F.lit(low), F.lit(high)) | F.col(cols[0]).isNull()
-        return self.read().where(near).join(wanted, same, "left_semi")
+        is_day = type(low) is dt.date
+        stored = self._folders(str(low), str(high), nulls=True) if is_day else self.read()
+        return stored.where(near).join(wanted, same, "left_semi")
 
     def finish(self, batch_id: str, staging: str, journal: "MergeJournal") -> None:
         """Complete an interrupted overwrite from its staged copy."""
