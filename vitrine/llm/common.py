@@ -29,11 +29,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_rows(df: DataFrame, *cols: str) -> DataFrame:
-    """Shuffle a small derived table by ``cols`` (session's partition count)."""
-    return df.repartition(*cols)
-
-
 def crc32_mod(col: str, mod: int) -> Column:
     """crc32(value as text) mod ``mod``; null stays null."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(mod)

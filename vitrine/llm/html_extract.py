@@ -4,8 +4,8 @@ Markup is stripped into lines, one for each block-level element. Every line weig
 length; lines of page furniture (menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments) and, outside an article element, lines that are mostly links weigh nothing.
 The weights are summed over a sliding window of lines. Where the sums rise above the threshold
-from nothing is a surge, where a whole window weighs nothing is the dive; text between a surge
-and its dive is kept. On pages that mark their article, furniture and everything outside the
+from nothing is a surge, where a whole window weighs nothing is the dive; text between the first
+surge (with the lighter lines that lead to it without such a gap) and the last dive is kept. On pages that mark their article, furniture and everything outside the
 article weigh nothing and any text at all is a surge; elsewhere the threshold follows the page.
 
 Spark partitions the pages; a task reads one page at a time, in time linear in its length.
@@ -216,9 +216,13 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
             end += 1
         regions.append((at, end))
         at = end
-    # a surge above the threshold takes the light lines just before it along, and what lies
-    # between the first surge and the last dive stays whatever its size
-    kept = [k for k in range(regions[0][0], regions[-1][1]) if weights[k]] if regions else []
+    if not regions:
+        return ""
+    first = regions[0][0]  # backwards as well, text goes on up to a whole window without weight
+    while first and weights[max(0, first - window):first].any():
+        first -= 1
+    # what lies between the first surge and the last dive stays whatever its size
+    kept = [k for k in range(first, regions[-1][1]) if weights[k]]
     return "\n".join(lines[k][0] for k in kept)
 
 
