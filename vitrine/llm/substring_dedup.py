@@ -261,8 +261,10 @@ def covered_starts(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
     distinct = runs.groupBy(*name).agg(F.min("doc_id").alias("least"), F.first("h").alias("h"), F.first("key").alias("key"))
     windows = (distinct.select(*name, "least", F.posexplode(F.arrays_zip("h", "key")).alias("at", "w"))
                .select(*name, "least", "at", "w.h", "w.key"))
-    starts = (windows.groupBy("h", "key").agg(F.min("least").alias("first_id"), F.count(F.lit(1)).alias("k"))
-              .where("k > 1").select("h", "key", "first_id"))
+    # written, so that both sides of the join below are shuffled for it alone and Spark can split
+    # the windows of a very common passage over several tasks
+    starts = written(windows.groupBy("h", "key").agg(F.min("least").alias("first_id"), F.count(F.lit(1)).alias("k"))
+                     .where("k > 1").select("h", "key", "first_id"), "repeated-windows")
     covered = (windows.join(starts, ["h", "key"]).where("first_id < least or (least is null and first_id is not null)")
                .groupBy(*name).agg(F.collect_set("at").alias("covered")))
     # a holder of the smallest id loses the covered windows, any other holder the whole run
