@@ -39,3 +39,39 @@ def test_cuts_never_change_the_matches():
         assert "".join(chunks) == text
         assert [w for c in chunks for w in words(c)] == words(text), repr(text)
     assert M.text_chunks("a  b c") == ["a", "  b", " c"]
+
+
+def by_library(rank_ids, text):
+    import hashlib
+    ids = rank_ids(text or "")
+    return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_query_equals_the_library_on_whole_texts(spark, rank_ids):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = M.op2_byte_bpe(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == by_library(rank_ids, texts[r.doc_id]) and r.round_trip
+
+
+def test_edge_rows_and_long_words_equal_the_library(spark, rank_ids):
+    long = ["a" * 3000, "ab" * 500, "xyzzy" * 97, "é" * 400, "!" * 700, "\U0001F600" * 120, "q" * 95, "q" * 96, "q" * 97, "0" * 200]
+    texts = [None, "", " ", "a", "a", " ".join(long), *long, "word " * 60_000]
+    rows = [(None if k == 3 else k % 20, t, "t", 1, "i") for k, t in enumerate(texts)] + [(7, "twice", "t", 1, "i")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, n_tokens int, data string")
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in M.bpe_round_trip(df, RANKS, P.PATTERN).collect())
+    assert got == sorted((i is not None, i or 0, *by_library(rank_ids, t)) for i, t, *_ in rows)
+    assert M.bpe_round_trip(df.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_encode_then_decode_gives_the_text_back(spark, rank_ids):
+    texts = [None, "", "It's 3 o'clock,\n  isn't it?", "日本語 \u00a0 x", "y" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = M.encode(df, RANKS, P.PATTERN)
+    assert {r.doc_id: r.ids for r in coded.collect()} == {k: rank_ids(t or "") for k, t in enumerate(texts)}
+    back = {r.doc_id: bytes(r.data).decode() for r in M.decode(coded, RANKS, P.PATTERN).collect()}
+    assert back == {k: t or "" for k, t in enumerate(texts)}
+    none = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert bytes(M.decode(none, RANKS, P.PATTERN).first().data) == b""

@@ -187,3 +187,21 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, tables: i
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs by exact cosine, then the smallest id that links reach.
+ORACLE_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+         embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS sound
+  FROM embeddings),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.sound AND b.sound AND list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(links.n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.a = v.vec_id LEFT JOIN links ON links.a = v.vec_id
+"""
