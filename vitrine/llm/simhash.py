@@ -170,7 +170,9 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 2, order: int = 5) ->
         if left:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    dealt = distinct.select("fp").repartition("fp").mapInArrow(deal, "anchor long, fp long, home boolean")
+    # a fixed number of tasks: sized by its few input bytes, the dealing would run in one or two
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = distinct.select("fp").repartition(tasks, "fp").mapInArrow(deal, "anchor long, fp long, home boolean")
     near = dealt.repartition("anchor").sortWithinPartitions("anchor")
     return near.mapInArrow(compare, "a long, b long")
 
