@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Mapping
 
 import numpy as np
@@ -56,7 +57,7 @@ class ByteLevelEncoder:
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path) as f:
             spec = json.load(f)
-        self.wide = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.wide, self.code = ("<u2", "H") if self.tok.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
@@ -73,7 +74,7 @@ class ByteLevelEncoder:
         got = self.word_ids.get(word)
         if got is None:
             spelled = word.encode().decode("latin-1").translate(self.letters)
-            got = np.array([t.id for t in self.model.tokenize(spelled)], self.wide).tobytes()
+            got = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
             self.word_ids[word] = got
             self.word_room -= ENTRY + len(word) + len(got)
         return got
