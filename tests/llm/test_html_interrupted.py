@@ -32,3 +32,7 @@ def test_the_window_decides_what_belongs_to_the_text():
     for window, want in ((1, [LONG.strip()]), (2, [LONG.strip()]), (3, ["Short.", LONG.strip()])):
         assert main_text(near, window).split("\n") == want
     assert main_text(far, 3) == LONG.strip() and main_text(far, 5).split("\n") == ["Short.", LONG.strip()]
+
+
+def test_formulas_are_text():
+    assert main_text("<article><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p><math><mn>1</mn><mo>&lt;</mo><mn>3</mn></math></article>") == "So a=2 holds.\n1<3"

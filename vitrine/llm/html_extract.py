@@ -38,7 +38,7 @@ LINK_SHARE = 0.5
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary
     table tbody td tfoot th thead title tr ul""".split())
-HIDDEN = frozenset("""head title script style noscript template svg math iframe object select option button textarea canvas
+HIDDEN = frozenset("""head title script style noscript template svg iframe object select option button textarea canvas
     video audio map datalist""".split())
 FURNITURE = frozenset("nav aside footer form menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -56,7 +56,7 @@ TRACKED = HIDDEN | FURNITURE | FENCES | MARKED - {"p", "li", "td", "span"}
 
 
 #: Elements whose content is text up to their own end tag.
-RAW = frozenset("script style textarea title noscript iframe template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe template svg".split())
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 TAG_END = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 ATTRS = re.compile(r"""(?:^|[\s"'])(class|id|role|style|hidden)(?=[\s=]|$)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
