@@ -84,3 +84,29 @@ def test_everything_left_is_packed(stages):
 def test_empty_table(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns_nulls_and_long_texts(spark, tmp_path):
+    """Columns beside the five change nothing, whatever their names; a null in any column passes
+    through; a text of two megabytes is packed whole."""
+    rng = np.random.default_rng(6)
+    words = [f"wort{k}" for k in range(5000)]
+    text = lambda n: " ".join(words[k] for k in rng.integers(0, 5000, n))
+    rows = [(k, text(60), [None, "en", "de"][k % 3], [None, "s", "t"][k % 3], None if k % 4 else 5) for k in range(40)]
+    rows += [(100, text(250_000), "en", "s", 1), (101, None, None, None, None), (None, text(80), None, None, None), (102, "12 34", "en", "s", 5)]
+    clash = ("rest", "rid", "fp", "spans", "starts", "kept", "base", "row", "words", "queue", "part", "component_id", "lang_pred")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    plain, wide = f"{tmp_path}/plain", f"{tmp_path}/wide"
+    spark.createDataFrame(rows, schema).write.parquet(f"{plain}/documents.parquet")
+    spark.createDataFrame([(*r, *clash) for r in rows], schema + "".join(f", {c} string" for c in clash)).write.parquet(f"{wide}/documents.parquet")
+    got = {}
+    for d in (plain, wide):
+        out = C.run(spark, d).collect()
+        got[d] = {}
+        for r in sorted(out, key=lambda r: r.start):
+            got[d].setdefault(r.doc_id, []).append(bytes(r.ids))
+    assert {i: b"".join(x) for i, x in got[plain].items()} == {i: b"".join(x) for i, x in got[wide].items()}
+    assert set(got[plain]) == {r[0] for r in rows} - {101, 102}
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    kept = {r[0]: r[1] for r in rows}
+    assert np.frombuffer(b"".join(got[plain][100]), "<u4").tolist() == t.encode(kept[100], add_special_tokens=False).ids + [0]
