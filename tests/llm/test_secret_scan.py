@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -75,3 +76,51 @@ def test_redaction_and_empty_table(spark):
     got = {r.doc_id: r.t for r in M.scan(df).select("doc_id", M.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
     assert got == {1: "é [secret] x [secret]!", 2: "clean", 3: None}
     assert M.scan(df.limit(0)).count() == 0
+
+
+def ordinary(rng):
+    """Slugs, names, paths and long words of the documents' own words."""
+    words = ("river table market number people history water between example language system second general letter window garden "
+             "summer yellow travel museum nature simple public modern report season island bridge doctor energy family street").split()
+    pick = lambda k, sep: sep.join(rng.choice(words) for _ in range(k))
+    out = ["internationalization", "electroencephalographically", "donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "desafortunadamente",
+           "wirtschaftswissenschaftlich", "responsabilidades-civiles", "a" * 40, "ab" * 20, string.ascii_lowercase, string.ascii_uppercase, "0123456789abcdef" * 2]
+    for k in range(60):
+        out += [pick(4, "-"), pick(4, "_"), pick(4, ""), pick(5, "/") + f"/v{k}", "".join(map(str.title, pick(4, " ").split())), pick(3, "-") + f"-2024-05-{k % 28 + 1:02}"]
+    return out
+
+
+def test_power_by_encoding_and_false_alarms(spark):
+    rng = random.Random(11)
+    up, low, dig = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    alphabets = {"upper hex": dig + "ABCDEF", "lower": low, "upper": up, "mixed": low + up, "base36": low + dig, "base62": low + up + dig, "base64": low + up + dig + "+/"}
+    planted = {name: ["".join(rng.choice(a) for _ in range(32)) for _ in range(50)] for name, a in alphabets.items()}
+    planted["uuid"] = [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(50)]
+    plain = ordinary(rng)
+    named = [(name, h) for name, hs in planted.items() for h in hs] + [("plain", h) for h in plain]
+    texts = {k: f"see {h} here" for k, (_, h) in enumerate(named)}
+    hits = {}
+    for r in as_query(table(spark, texts)).collect():
+        hits[named[r.doc_id][0]] = hits.get(named[r.doc_id][0], 0) + bool(r.spans)
+    assert all(hits[name] >= 45 for name in planted), hits
+    assert hits["plain"] <= len(plain) // 100
+
+
+def test_ordinary_documents_get_no_random_span(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    spans = M.scan(docs).select(F.explode("spans").alias("s")).where("s.kind = 3")
+    assert spans.count() == 0
+
+
+def test_step_up_against_plain_python(spark):
+    rng = random.Random(2)
+    b62 = string.ascii_letters + string.digits
+    texts = {k: " ".join(["".join(rng.choice(b62 if k % 3 else string.ascii_lowercase) for _ in range(16 + k % 30)), *rng.sample(ordinary(rng), 4)]) for k in range(150)}
+    docs = table(spark, texts).select("text")
+    ps = [(r.stratum, r.p) for r in docs.select(F.explode(M.candidates(F.col("text"))).alias("c")).select("c.stratum", "c.p").collect()]
+    assert {k for k, _ in ps} == set(range(2 * len(M.STRATA)))
+    for stratum, edge in enumerate(M.thresholds(docs)):
+        own = sorted(p for k, p in ps if k == stratum)
+        step_up = lambda fdr: max([p for k, p in enumerate(own, 1) if p * len(own) <= fdr * k], default=0.0)
+        admitted = max([p for p in own if p <= edge], default=0.0)
+        assert step_up(M.FDR / 2 ** 0.25) <= admitted <= step_up(M.FDR)

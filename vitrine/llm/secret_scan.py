@@ -1,19 +1,23 @@
 """Secret scan: fixed patterns plus a randomness test battery, in DataFrame functions only.
 
 Base kinds are the leftmost non-overlapping matches of three patterns. The battery looks at
-every other run of key characters that holds a letter and a digit, infers its encoding (hex,
-base32, base36, base64) and asks three questions of it against the null of an ordinary string
-(words, names, numbers), whose characters collide, persist and correlate:
+every other run of key characters that holds a letter, leaves out its separators, infers its
+encoding (hex, letters, base32, base36, base62) and asks three questions of it against the null
+of an ordinary string (words, names, slugs, numbers):
 
 * chi-squared alphabet uniformity: P(statistic this small | noncentral chi-squared with the
-  collision rate of text);
-* runs: P(this many changes between the alphabet's halves | changes as rare as in text);
-* lag-one serial correlation: P(correlation this near zero | correlation as in text).
+  collision rate of text); of letters and base32, pooled as common, middling and rare letters;
+* runs of character classes (digits, cases; of letters, vowels): P(this close to the changes of
+  a random string | changes as in text);
+* serial dependence of neighbours: P(share of frequent letter pairs this close to a random
+  string's | share as in text); of hex, P(lag-one correlation this near zero | as in text). A
+  string whose lag-one correlation is over ``SERIAL_LIMIT`` (alphabets, counters) is not random.
 
 Each test's evidence grows with the length. Fisher's method combines the three, and the
-Benjamini-Hochberg step-up over all documents, by length stratum, admits spans at false
-discovery rate ``FDR``. The step-up works on counts per stratum and quarter-log2 bin of p
-(conservatively: on each bin's upper edge), so the driver sees one number per stratum.
+Benjamini-Hochberg step-up over all documents, by stratum of length and of letters alone or
+not, admits spans at false discovery rate ``FDR``. The step-up works on counts per stratum and
+quarter-log2 bin of p (conservatively: on each bin's upper edge), so the driver sees one number
+per stratum.
 
 Both passes are maps over the documents; the text is never shuffled.
 
@@ -38,21 +42,33 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: Shorter matches of AKIA[A-Z0-9]+ and [0-9a-f]+ fail, and a failing match hides no longer one.
 ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
 ASSIGN_VALUE = 6
-#: Runs of at least 16 key characters; the battery judges those with a letter and a digit.
-CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
+#: Runs of at least 16 key characters; the battery judges those with a letter.
+CANDIDATE, BETWEEN = "[A-Za-z0-9+/_=-]{16,}", "[+/_=-]+"
 
-#: name, pattern, alphabet in code order
+#: name, pattern of the characters without separators, alphabet in code order, share of
+#: neighbours of different classes in an ordinary and in a random string
 ENCODINGS = (
-    ("hex", "^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
-    ("base32", "^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("base36", "^([0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
-    ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("hex", "^(?=.*[0-9])([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.1, 0.469),
+    ("letters", "^[A-Za-z]+$", "abcdefghijklmnopqrstuvwxyz", 0.58, 0.311),
+    ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.1, 0.305),
+    ("base36", "^([0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz", 0.1, 0.401),
+    ("base62", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 0.25, 0.622),
 )
-#: Ordinary strings: collision probability of two characters (at least twice the alphabet's),
-#: probability of changing halves, correlation of neighbours.
-TEXT_COLLISION, TEXT_CHANGE, TEXT_CORRELATION = 0.06, 0.25, 0.3
+HEX_CODE, LETTERS_CODE, BASE32_CODE = 0, 1, 2
+#: Ordinary strings: collision probability of two characters (at least twice the alphabet's)
+#: and correlation of neighbours.
+TEXT_COLLISION, TEXT_CORRELATION = 0.06, 0.3
+#: Letters by frequency, and their shares in text.
+POOLS = (("etaoinsr", 0.63), ("hldcumfpgw", 0.30), ("ybvkxjqz", 0.07))
+#: The most frequent letter pairs of English text, and the pairs' least share of
+#: neighbouring letters in text (of any language with Latin letters).
+PAIRS = ("th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea"
+         " ra ce li ch ll be ma si om ur").split()
+TEXT_PAIRS, RANDOM_PAIRS = 0.45, len(PAIRS) / 26 ** 2
+#: Lag-one correlation above which a string follows a rule.
+SERIAL_LIMIT = 0.6
 FDR = 0.01
-#: Lower length bounds of the strata.
+#: Lower length bounds of the strata; strings of letters alone have strata of their own.
 STRATA = (16, 24, 40)
 #: Quarter-log2 bins of p.
 BINS = 400
@@ -95,42 +111,65 @@ def _below(z: Column) -> Column:
 
 
 def encoded(hit: Column) -> tuple[Column, Column]:
-    """The string in the letters of its inferred encoding (no padding, one case, one 64-letter
-    set), and the encoding's alphabet."""
-    bare = F.regexp_replace(hit, "=+$", "")
-    plain, letters = F.translate(bare, "-_", "+/"), F.lit(ENCODINGS[-1][2])
-    for name, pattern, alphabet in reversed(ENCODINGS[:-1]):
-        fits = hit.rlike(pattern)
-        plain = F.when(fits, bare if name == "base32" else F.lower(bare)).otherwise(plain)
-        letters = F.when(fits, F.lit(alphabet)).otherwise(letters)
-    return plain, letters
-
-
-def battery_p(s: Column, letters: Column) -> Column:
-    """Combined p-value of a string over an alphabet under the null of an ordinary string."""
+    """The string without separators, in one case where its inferred encoding has one, and the
+    encoding's index."""
+    bare = F.regexp_replace(hit, BETWEEN, "")
+    code = F.lit(len(ENCODINGS) - 1)
+    for k in range(len(ENCODINGS) - 2, -1, -1):
+        code = F.when(bare.rlike(ENCODINGS[k][1]), k).otherwise(code)
+    one_case = [k for k, e in enumerate(ENCODINGS) if e[2] == e[2].lower()]
+    return F.when(code.isin(one_case), F.lower(bare)).otherwise(bare), code
+
+
+def _of_code(code: Column, values) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), code + 1)
+
+
+def _as_random(seen: Column, at_random: Column, usual: Column, spread: Column) -> Column:
+    """P(as near to a random string's count as seen | a count as usual, with this spread)."""
+    return _below((F.abs(seen - at_random) - F.abs(usual - at_random)) / spread)
+
+
+def _pooled(s: Column, n: Column) -> Column:
+    """Uniformity of n letters pooled by frequency: P(chi-squared this small | text's shares)."""
+    chi, shift = F.lit(0.0), 0.0
+    for letters, share in POOLS:
+        even = len(letters) / 26
+        count = F.length(F.regexp_replace(s, f"[^{letters}]+", ""))
+        chi += F.pow(count - n * even, F.lit(2.0)) / (n * even)
+        shift += (share - even) ** 2 / even
+    return _below(F.sqrt(chi) - F.sqrt(n * shift))
+
+
+def battery_p(s: Column, code: Column) -> Column:
+    """Combined p-value of a string in an encoding under the null of an ordinary string."""
+    letters = _of_code(code, [e[2] for e in ENCODINGS])
     size = F.length(letters).cast("double")
     n = F.greatest(F.length(s), F.lit(4)).cast("double")
     squares = F.aggregate(F.split(letters, ""), F.lit(0.0),
                           lambda a, c: a + F.pow(F.length(s) - F.length(F.replace(s, c, F.lit(""))), F.lit(2.0)))
     chi = size / n * squares - n
     shift = n * (size * F.greatest(F.lit(TEXT_COLLISION), 2 / size) - 1)
-    p_chi = _below((chi - (size - 1 + shift)) / F.sqrt(2 * (size - 1) + 4 * shift))
+    low = F.lower(s)
+    of_letters = F.greatest(F.length(F.regexp_replace(s, "[0-9]+", "")), F.lit(1))
+    p_chi = F.when(code.isin(LETTERS_CODE, BASE32_CODE), _pooled(low, of_letters)).otherwise(_below((chi - (size - 1 + shift)) / F.sqrt(2 * (size - 1) + 4 * shift)))
 
-    low = F.floor(size / 2).cast("int")
-    halves = F.call_function("translate", s, letters, F.concat(F.repeat(F.lit("0"), low), F.repeat(F.lit("1"), F.length(letters) - low)))
-    changes = F.length(F.regexp_replace(halves, "0+|1+", "x")) - 1
-    usual = TEXT_CHANGE * (n - 1)
-    p_runs = _below((usual - changes) / F.sqrt(usual * (1 - TEXT_CHANGE)))
+    text_rate, random_rate = _of_code(code, [e[3] for e in ENCODINGS]), _of_code(code, [e[4] for e in ENCODINGS])
+    runs = F.when(code == LETTERS_CODE, F.regexp_replace(s, "[aeiou]+|[^aeiou]+", "x")).otherwise(F.regexp_replace(s, "[0-9]+|[a-z]+|[A-Z]+", "x"))
+    p_runs = _as_random(F.length(runs) - 1, (n - 1) * random_rate, (n - 1) * text_rate, F.sqrt((n - 1) * text_rate * (1 - text_rate)))
 
     # correlation of neighbours in one pass: sums of x, x*x and x*next
-    sums = F.aggregate(
+    r = F.least(F.abs(F.aggregate(
         F.split(s, ""), F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("xy"), F.lit(0.0).alias("last"), F.lit(-1.0).alias("first")),
-        lambda a, c: _next_sums(a, F.call_function("locate", c, letters).cast("double")), lambda a: _correlation(a, n))
-    r = F.least(F.abs(sums), F.lit(0.999))
-    p_serial = _below((F.atanh(r) - F.atanh(F.lit(TEXT_CORRELATION))) * F.sqrt(n - 3))
+        lambda a, c: _next_sums(a, F.call_function("locate", c, letters).cast("double")), lambda a: _correlation(a, n))), F.lit(0.999))
+    near = F.length(F.regexp_replace(low, "(?=[a-z][a-z])", "#")) - F.length(s)
+    frequent = F.length(F.regexp_replace(low, f"(?={'|'.join(PAIRS)})", "#")) - F.length(s)
+    p_pairs = _as_random(frequent, near * RANDOM_PAIRS, near * TEXT_PAIRS, F.sqrt(F.greatest(near, F.lit(1)) * TEXT_PAIRS * (1 - TEXT_PAIRS)))
+    p_serial = F.when(code == HEX_CODE, _below((F.atanh(r) - F.atanh(F.lit(TEXT_CORRELATION))) * F.sqrt(n - 3))).otherwise(p_pairs)
 
     half = -(F.log(p_chi + 1e-300) + F.log(p_runs + 1e-300) + F.log(p_serial + 1e-300))
-    return F.exp(-half) * (1 + half + half * half / 2)  # chi-squared tail, six degrees of freedom
+    p = F.exp(-half) * (1 + half + half * half / 2)  # chi-squared tail, six degrees of freedom
+    return F.when(r > SERIAL_LIMIT, 1.0).otherwise(p)
 
 
 def _next_sums(a: Column, x: Column) -> Column:
@@ -147,16 +186,17 @@ def _correlation(a: Column, n: Column) -> Column:
 
 def candidates(text: Column) -> Column:
     """array<struct<start, end, stratum, p>> of the strings that the battery judges."""
-    judged = found(text, CANDIDATE, lambda h: h.rlike("[0-9]") & h.rlike("[A-Za-z]"))
+    judged = found(text, CANDIDATE, lambda h: h.rlike("[A-Za-z]"))
     spelled = F.transform(judged, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), encoded(m["hit"])[0].alias("plain"), encoded(m["hit"])[1].alias("letters")))
+        m["start"].alias("start"), m["end"].alias("end"), encoded(m["hit"])[0].alias("plain"), encoded(m["hit"])[1].alias("code")))
     return F.transform(spelled, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), _stratum(m["end"] - m["start"]).alias("stratum"),
-        battery_p(m["plain"], m["letters"]).alias("p")))
+        m["start"].alias("start"), m["end"].alias("end"), _stratum(m["end"] - m["start"], m["code"]).alias("stratum"),
+        battery_p(m["plain"], m["code"]).alias("p")))
 
 
-def _stratum(n: Column) -> Column:
-    return reduce(lambda a, k: F.when(n >= STRATA[k], F.lit(k)).otherwise(a), range(1, len(STRATA)), F.lit(0))
+def _stratum(n: Column, code: Column) -> Column:
+    by_length = reduce(lambda a, k: F.when(n >= STRATA[k], F.lit(k)).otherwise(a), range(1, len(STRATA)), F.lit(0))
+    return by_length + F.when(code == LETTERS_CODE, len(STRATA)).otherwise(0)
 
 
 def thresholds(docs: DataFrame, fdr: float = FDR) -> list[float]:
@@ -171,7 +211,7 @@ def thresholds(docs: DataFrame, fdr: float = FDR) -> list[float]:
             .where(edge * F.col("m") <= F.lit(fdr) * F.col("k"))
             .groupBy("stratum").agg(F.max(edge).alias("edge")).collect())
     by = {r["stratum"]: r["edge"] for r in rows}
-    return [by.get(k, 0.0) for k in range(len(STRATA))]
+    return [by.get(k, 0.0) for k in range(2 * len(STRATA))]
 
 
 def scan(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
