@@ -75,3 +75,26 @@ def test_encode_then_decode_gives_the_text_back(spark, rank_ids):
     assert back == {k: t or "" for k, t in enumerate(texts)}
     none = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert bytes(M.decode(none, RANKS, P.PATTERN).first().data) == b""
+
+
+def test_every_token_contracts_to_itself():
+    """What contracting all places of a rank at once rests on, for the given ranks."""
+    codec = M.Codec(RANKS, P.PATTERN)
+    tokens = list(codec.ranks)
+    out = [None] * len(tokens)
+    codec._contract(tokens, list(range(len(tokens))), out)
+    assert all(x == [codec.ranks[t]] for t, x in zip(tokens, out))
+
+
+@pytest.mark.parametrize("history", [M.QUERY_ROWS, 1, 5000])
+def test_words_of_any_length_equal_the_library(monkeypatch, history):
+    monkeypatch.setattr(M, "QUERY_ROWS", history)
+    monkeypatch.setattr(M, "QUERY_BYTES", 300)
+    codec = M.Codec(RANKS, P.PATTERN)
+    library = tiktoken.Encoding("given", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})._core_bpe
+    rng = np.random.default_rng(5)
+    words = [b"a" * n for n in (2, 3, 5, 8, 17, 1001)] + [b"aab" * 40, b"=" * 600]
+    for letters in ("ab", "abc", "the in on", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/"):
+        words += ["".join(rng.choice(list(letters), n)).encode() for n in (5, 40, 95, 97, 400)]
+    words += [bytes(rng.integers(0, 256, 60, dtype=np.uint8)) for _ in range(20)]
+    assert codec.encode_words(words) == [library.encode_single_piece(w) for w in words]

@@ -2,8 +2,12 @@
 
 A text is pre-split by the tokenizer's pattern; every *distinct* new word of a slice becomes
 rows (word, position, token). A recursive query joins neighbouring tokens to the merge table,
-takes each word's minimum-rank pair (leftmost among equals) and contracts it, until no pair of
-the word is mergeable. Decoding joins token rows to the byte table and concatenates the bytes
+takes each word's minimum-rank pair and contracts all its places from the left, until no pair of
+the word is mergeable. That equals contracting one place after the other: a token is only formed
+from tokens of lower rank, so a contraction gives no pair of a lower rank than its own. It holds
+for the ranks of every trained byte-level BPE, whose tokens' own bytes contract to the token
+(tested for the given file). So steps grow with the ranks that a word uses, not with its length,
+and words of every length go the same way. Decoding joins token rows to the byte table and concatenates the bytes
 with an ordered aggregate. Spark partitions the documents; a task holds one text slice, a
 bounded cache of encoded chunks and one DuckDB connection.
 
@@ -29,13 +33,12 @@ from vitrine.llm.common import Generations, claim, slices, table
 
 #: Bytes of encoded chunks kept per Python worker.
 CACHE_BYTES = 256 << 20
-#: Words encoded by one recursive query.
-QUERY_WORDS = 40_000
-#: Longer words (in bytes) are contracted by a heap instead of relation rows: the recursion
-#: makes one pass over a word's rows per merge, which is quadratic in the word's length.
-RECURSION_BYTES = 96
+#: Words, and bytes of words, that one recursive query begins with (a longer word has its own).
+QUERY_WORDS, QUERY_BYTES = 40_000, 400_000
+#: Rows that the steps of one query may add up to; words not done by then go on in the next one.
+QUERY_ROWS = 4_000_000
 #: No next row, or no next token.
-NONE = 4095 << 20
+NONE = -1
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -44,26 +47,31 @@ SCHEMA = T.StructType([
 ])
 
 #: Working rows: word, position, token, and the next row's token and position. A step joins
-#: every row to the merge table, keeps each word's least (rank, position), writes the merged
-#: token at that position and drops the row after it. A word without a mergeable pair is done.
+#: every row to the merge table, finds each word's minimum rank and contracts all pairs of that
+#: rank that do not overlap, from the left: of a run of equal tokens every second row. The merged
+#: token takes the pair's first row, the row after it goes. A word without a mergeable pair is done.
 ENCODE = """
 WITH RECURSIVE
 st(i, w, p, t, nt, np) AS (
     SELECT 0, w, p, t, nt, np FROM seed
-  UNION ALL
-    SELECT i + 1, s.w, s.p, CASE WHEN s.p = b.at THEN b.m ELSE s.t END,
-           CASE WHEN s.p = b.at THEN b.gnt WHEN s.np = b.at THEN b.m ELSE s.nt END,
-           CASE WHEN s.p = b.at THEN b.gnp ELSE s.np END
-    FROM st s JOIN (
-        SELECT c.w, c.k >> 24 AS m, (c.k >> 12) & 4095 AS at, c.k & 4095 AS gone, g.nt AS gnt, g.np AS gnp
-        FROM (SELECT st.w, min((g.m << 24) | (st.p << 12) | st.np) AS k
-              FROM st JOIN merges g ON g.a = st.t AND g.b = st.nt GROUP BY st.w) c
-        JOIN st g ON g.w = c.w AND g.p = c.k & 4095
-    ) b ON s.w = b.w
-    WHERE s.p <> b.gone
+  UNION ALL (
+    WITH least AS (
+        SELECT st.w, st.p, st.t, st.nt, st.np, g.m FROM st JOIN merges g ON g.a = st.t AND g.b = st.nt
+        QUALIFY g.m = min(g.m) OVER (PARTITION BY st.w)),
+    runs AS (
+        SELECT p, np - p AS size, p - (np - p) * row_number() OVER (PARTITION BY w ORDER BY p) AS run FROM least WHERE t = nt),
+    second AS (
+        SELECT p FROM runs QUALIFY ((p - min(p) OVER (PARTITION BY run)) // size) % 2 = 1),
+    heads AS (
+        SELECT c.p, c.m, c.np AS gone, g.nt, g.np FROM least c JOIN st g ON g.p = c.np WHERE c.p NOT IN (SELECT p FROM second)),
+    kept AS (
+        SELECT s.i + 1 AS i, s.w, s.p, coalesce(h.m, s.t) AS t, coalesce(h.nt, s.nt) AS nt, coalesce(h.np, s.np) AS np
+        FROM st s LEFT JOIN heads h ON h.p = s.p
+        WHERE s.i < $depth AND s.w IN (SELECT w FROM least) AND s.p NOT IN (SELECT gone FROM heads))
+    SELECT k.i, k.w, k.p, k.t, coalesce(h.m, k.nt), k.np FROM kept k LEFT JOIN heads h ON h.p = k.np)
 ),
 done AS (SELECT w, max(i) AS i FROM st GROUP BY w)
-SELECT st.w, st.t FROM st JOIN done ON st.w = done.w AND st.i = done.i ORDER BY st.w, st.p
+SELECT st.i = $depth AS goes_on, st.w, st.p, st.t, st.nt, st.np FROM st JOIN done ON st.w = done.w AND st.i = done.i ORDER BY st.p
 """
 
 DECODE = """
@@ -98,69 +106,51 @@ class Codec:
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], np.int64)
         self.cache = Generations(CACHE_BYTES)
 
-    def _fill(self, name: str, cols: dict) -> None:
-        self.con.register("incoming", pa.table(cols))
+    def _fill(self, name: str, cols: dict | pa.Table) -> None:
+        self.con.register("incoming", cols if isinstance(cols, pa.Table) else pa.table(cols))
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
-    def _heap(self, word: bytes) -> list[int]:
-        """The same contraction (minimum rank, then leftmost) over a linked list."""
-        import heapq
-
-        parts = [bytes([x]) for x in word]
-        nxt = list(range(1, len(parts) + 1))
-        prv = list(range(-1, len(parts) - 1))
-        get = self.ranks.get
-        heap = [(r, k, 2) for k in range(len(parts) - 1) if (r := get(parts[k] + parts[k + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, k, size = heapq.heappop(heap)
-            if not parts[k] or nxt[k] >= len(parts):
-                continue
-            j = nxt[k]
-            if len(parts[k]) + len(parts[j]) != size or get(parts[k] + parts[j]) != r:
-                continue
-            parts[k] += parts[j]
-            parts[j] = b""
-            nxt[k] = nxt[j]
-            if nxt[j] < len(parts):
-                prv[nxt[j]] = k
-            for x in (prv[k], k):
-                if x >= 0 and nxt[x] < len(parts):
-                    y = parts[x] + parts[nxt[x]]
-                    if (r := get(y)) is not None:
-                        heapq.heappush(heap, (r, x, len(y)))
-        return [self.ranks[p] for p in parts if p]
-
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word (distinct words, no pre-splitting)."""
         out: list = [None] * len(words)
-        todo = []
+        todo, held = [], 0
         for k, w in enumerate(words):
             whole = self.ranks.get(w)
             if whole is not None:
                 out[k] = [whole]
-            elif len(w) > RECURSION_BYTES:
-                out[k] = self._heap(w)
-            else:
-                todo.append(k)
-        for lo in range(0, len(todo), QUERY_WORDS):
-            part = todo[lo:lo + QUERY_WORDS]
-            size = np.array([len(words[k]) for k in part])
-            first = np.cumsum(size) - size
-            t = self.single[np.frombuffer(b"".join([words[k] for k in part]), np.uint8)]
-            p = np.arange(len(t)) - np.repeat(first, size)
-            nt, np_ = np.append(t[1:], NONE), p + 1
-            nt[first + size - 1] = np_[first + size - 1] = NONE
-            self._fill("seed", {"w": pa.array(np.repeat(np.arange(len(part), dtype=np.int32), size)),
-                                "p": pa.array(p), "t": pa.array(t), "nt": pa.array(nt), "np": pa.array(np_)})
-            got = self.con.sql(ENCODE).to_arrow_table()
-            flat = got["t"].to_pylist()
-            ends = np.cumsum(np.bincount(got["w"].to_numpy(), minlength=len(part))).tolist()
-            for k, a, b in zip(part, [0, *ends], ends):
-                out[k] = flat[a:b]
+                continue
+            if todo and (len(todo) == QUERY_WORDS or held + len(w) > QUERY_BYTES):
+                self._contract(words, todo, out)
+                todo, held = [], 0
+            todo.append(k)
+            held += len(w)
+        if todo:
+            self._contract(words, todo, out)
         return out
 
+    def _contract(self, words: list[bytes], part: list[int], out: list) -> None:
+        """Fill ``out`` for the words ``part`` by recursive queries of bounded history."""
+        size = np.array([len(words[k]) for k in part])
+        first = np.cumsum(size) - size
+        t = self.single[np.frombuffer(b"".join([words[k] for k in part]), np.uint8)]
+        p = np.arange(len(t))
+        nt, np_ = np.append(t[1:], NONE), p + 1
+        nt[first + size - 1] = np_[first + size - 1] = NONE
+        rows = pa.table({"w": pa.array(np.repeat(np.arange(len(part)), size)), "p": pa.array(p), "t": pa.array(t),
+                         "nt": pa.array(nt), "np": pa.array(np_)})
+        while rows.num_rows:
+            self._fill("seed", rows)
+            got = self.con.sql(ENCODE, params={"depth": max(1, min(200, QUERY_ROWS // rows.num_rows))}).to_arrow_table()
+            goes_on = got["goes_on"].to_numpy()
+            ids, word = got["t"].to_numpy()[~goes_on], got["w"].to_numpy()[~goes_on]
+            ends = np.append(np.flatnonzero(word[1:] != word[:-1]) + 1, len(word)) if len(word) else []
+            flat, lo = ids.tolist(), 0
+            for hi in ends:
+                out[part[word[lo]]] = flat[lo:hi]
+                lo = hi
+            rows = got.filter(pa.array(goes_on)).drop_columns(["goes_on"])
+
     def decode_words(self, coded: list[list[int]]) -> list[bytes]:
         """Bytes of each id list, by an ordered aggregate over (list, position, id) rows."""
         out = [b""] * len(coded)
