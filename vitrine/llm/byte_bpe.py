@@ -12,8 +12,9 @@ with an ordered aggregate. Spark partitions the documents; a task holds one text
 bounded cache of encoded chunks and one DuckDB connection.
 
 Defined results: null or empty text: no tokens (``n_tokens`` 0, hashes of the empty string).
-Repeated rows give repeated result rows; extra columns are ignored; an empty table gives an
-empty result. Texts of any length are encoded whole.
+A null doc_id is kept as such; repeated rows give repeated result rows; extra columns are
+ignored, whatever their names; an empty table gives an empty result. Texts and words of any
+length are encoded whole.
 """
 
 from __future__ import annotations
