@@ -4,13 +4,12 @@ Inputs are two long DataFrames:
   log_keys   (line, audited_date, key)   one row per log record that passed the filters
   table_rows (line, audited_date, key)   one row per table row; key may be NULL
 
-Both sides are pre-aggregated to one row per (line, day, key) before the single full
-outer join, so the join is 1:1 whatever the duplication, and every per-day number is
-a partial aggregation (map-side combine). The ID samples and the ID text need only
-the first 20 / 2001 keys of a day in string order. The 2001 are ranked in two levels:
-first within one of ``RANK_SALTS`` hash shares of the day, then among the shares'
-survivors, so a day with millions of differing IDs never lands in one task as a whole,
-whatever limit the optimizer puts on ranks before a shuffle.
+Both sides go through one aggregation to one row per (line, day, key), which holds whether
+the log and how often the table has the key: a full outer join of the two key sets without
+sorting either. Every per-day number is a partial aggregation (map-side combine). The ID samples and the ID text need only the first 20 / 2001 keys of a day in string
+order. They are ranked in two levels: first within one of ``RANK_SALTS`` hash shares of the
+day, then among the shares' survivors, so a day with millions of differing IDs never lands
+in one task as a whole, whatever limit the optimizer puts on ranks before a shuffle.
 
 Semantics kept from the source audit:
   * total_log counts distinct log keys, total_db counts table rows (NULL keys too);
@@ -42,17 +41,27 @@ IDS_TEXT_RANKS = IDS_TEXT_LIMIT + 1
 RANK_SALTS = 64
 
 
-def key_pairs(log_keys: DataFrame, table_rows: DataFrame) -> DataFrame:
+def key_pairs(log_keys: DataFrame, table_rows: DataFrame, parts: int | None = None) -> DataFrame:
     """(line, audited_date, key, in_log, n_db) over the union of both key sets.
 
     NULL table keys never match; they stay as table-only rows and count in total_db.
+
+    ``parts``: deal the rows over so many tasks before they are aggregated, for inputs whose
+    keys are nearly all distinct. The hash tables then hold a part's keys each; combining
+    before the shuffle would keep one with the keys of a whole file split, to no avail.
     """
-    lg = log_keys.select(*DAY, "key").where(F.col("key").isNotNull()).distinct() \
-        .withColumn("in_log", F.lit(True))
-    db = table_rows.select(*DAY, "key").groupBy(*DAY, "key") \
-        .agg(F.count(F.lit(1)).alias("n_db"))
-    # NULL keys never satisfy the equi-join, so they come out as table-only rows.
-    return lg.join(db, DAY + ["key"], "full_outer").select(*DAY, "key", "in_log", "n_db")
+    whole = F.col("line").isNotNull() & F.col("audited_date").isNotNull()
+
+    def side(rows, n, in_log, n_db):
+        # a NULL line or day equals nothing, so such rows group within their own side only
+        return rows.select(*DAY, "key", F.when(whole, F.lit(0)).otherwise(F.lit(n)).alias("_side"),
+                           F.lit(in_log).cast("boolean").alias("in_log"), F.lit(n_db).cast("bigint").alias("n_db"))
+
+    both = side(log_keys.where(F.col("key").isNotNull()), 1, True, None).unionByName(side(table_rows, 2, None, 1))
+    if parts:
+        both = both.repartition(parts, *DAY, "key", "_side")
+    return both.groupBy(*DAY, "key", "_side").agg(F.max("in_log").alias("in_log"), F.sum("n_db").alias("n_db")) \
+        .drop("_side")
 
 
 def missing_keys(pairs: DataFrame) -> DataFrame:
@@ -65,12 +74,10 @@ def excess_keys(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("in_log").isNull() & F.col("key").isNotNull()).select(*DAY, "key")
 
 
-def only_left(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct keys of ``left`` that ``right`` lacks: the one-sided form, an anti join of
-    pre-aggregated keys."""
-    a = left.select(*DAY, "key").where(F.col("key").isNotNull()).distinct()
-    b = right.select(*DAY, "key").where(F.col("key").isNotNull()).distinct()
-    return a.join(b, DAY + ["key"], "left_anti")
+def only_left(left: DataFrame, right: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct keys of ``left`` that ``right`` lacks: the one-sided form, an anti join by the
+    aggregation of both sides."""
+    return missing_keys(key_pairs(left, right, parts))
 
 
 def except_keys(log_keys: DataFrame, table_rows: DataFrame) -> DataFrame:
@@ -102,16 +109,19 @@ def classify(counts: DataFrame) -> DataFrame:
     return counts.withColumn("status", status)
 
 
-def ranked_keys(keys: DataFrame, k: int) -> DataFrame:
+def ranked_keys(keys: DataFrame, k: int, parts: int | None = None) -> DataFrame:
     """First ``k`` keys per (line, day) in string order, as a sorted array."""
-    top = first_ranks(keys, DAY, k)
+    top = first_ranks(keys, DAY, k, parts)
     return top.groupBy(*DAY).agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
 
-def first_ranks(keys: DataFrame, by: list[str], k: int) -> DataFrame:
+def first_ranks(keys: DataFrame, by: list[str], k: int, parts: int | None = None) -> DataFrame:
     """Rows whose key is among the first ``k`` of its group, with their rank ``_r``: ranked
-    within hash shares of the group, then among the (at most RANK_SALTS * k) survivors."""
+    within hash shares of the group, then among the (at most RANK_SALTS * k) survivors. The
+    shares are dealt first (over ``parts`` tasks), so that no sort joins the aggregation that
+    made the keys in a task."""
     salted = keys.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(RANK_SALTS)))
+    salted = salted.repartition(*([parts] if parts else []), *by, "_s")
     part = Window.partitionBy(*by, "_s").orderBy("key")
     few = salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k).drop("_s", "_r")
     whole = Window.partitionBy(*by).orderBy("key")
@@ -119,13 +129,13 @@ def first_ranks(keys: DataFrame, by: list[str], k: int) -> DataFrame:
 
 
 def audit_results(log_keys: DataFrame, table_rows: DataFrame, key_labels: DataFrame,
-                  expected: DataFrame | None = None) -> DataFrame:
+                  expected: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """The stored audit row per (line, day), from log keys and table rows."""
-    return audit_results_of_pairs(key_pairs(log_keys, table_rows), key_labels, expected)
+    return audit_results_of_pairs(key_pairs(log_keys, table_rows, parts), key_labels, expected, parts)
 
 
 def audit_results_of_pairs(pairs: DataFrame, key_labels: DataFrame,
-                           expected: DataFrame | None = None) -> DataFrame:
+                           expected: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """The stored audit row per (line, day), from ``key_pairs``.
 
     key_labels: (line, key_label) small per-line table used in notes.
@@ -137,14 +147,20 @@ def audit_results_of_pairs(pairs: DataFrame, key_labels: DataFrame,
     diff = pairs.select(*DAY, "key", F.when(F.col("in_log") & F.col("n_db").isNull(), F.lit("m"))
                         .when(F.col("in_log").isNull() & F.col("key").isNotNull(), F.lit("x"))
                         .alias("kind")).where(F.col("kind").isNotNull())
-    ranked = first_ranks(diff, [*DAY, "kind"], IDS_TEXT_RANKS)
+    ranked = first_ranks(diff, [*DAY, "kind"], IDS_TEXT_RANKS, parts)
     lists = ranked.groupBy(*DAY).agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "m", F.col("key")))).alias("miss_keys"),
         F.array_sort(F.collect_list(F.when((F.col("kind") == "x") & (F.col("_r") <= SAMPLE_SIZE),
                                            F.col("key")))).alias("extra_sample"))
     lists = lists.select(*DAY, bounded_text(F.array_join("miss_keys", ",")).alias("ids_missing"),
                          F.slice("miss_keys", 1, SAMPLE_SIZE).alias("miss_sample"), "extra_sample")
-    r = counts.join(lists, DAY, "left").join(key_labels, "line", "left")
+    # Put beside the counts by one more aggregation of a row or two a day. A join would infer
+    # filters on the lists' side, and the two sides could not share the shuffle of the keys.
+    r = counts.unionByName(lists, allowMissingColumns=True).groupBy(*DAY) \
+        .agg(*[F.max(c).alias(c) for c in [*counts.columns, *lists.columns] if c not in DAY])
+    dated = F.col("audited_date").isNotNull()  # a NULL day has counts only
+    r = r.select(*DAY, *[F.when(dated, F.col(c)).alias(c) if c in lists.columns else F.col(c)
+                         for c in r.columns if c not in DAY]).join(key_labels, "line", "left")
     empty = F.array().cast("array<string>")
     miss_list = py_list_text(F.coalesce("miss_sample", empty))
     extra_list = py_list_text(F.coalesce("extra_sample", empty))

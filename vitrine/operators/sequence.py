@@ -54,6 +54,11 @@ def with_event_seq(df: DataFrame, keys, order_cols, scope_cols=(), split_col: st
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
 
     base, gk = null_safe_keys(df, scope + keys, prefix="_sq")
+    # A key travels as its stand-ins alone and is put back at the end, unless the order reads it.
+    spare = [] if any(not isinstance(c, str) for c in order_cols) else \
+        [i for i, k in enumerate(scope + keys) if k not in {*order_cols, split_col}]
+    base = base.drop(*[(scope + keys)[i] for i in spare])
+    back = {(scope + keys)[i]: F.when(~F.col(gk[2 * i + 1]), F.col(gk[2 * i])) for i in spare}
     part = gk + [split_col]
     w_local = Window.partitionBy(*part).orderBy(*order)
     numbered = base.withColumn("_sq_local", F.row_number().over(w_local) - 1)
@@ -64,10 +69,12 @@ def with_event_seq(df: DataFrame, keys, order_cols, scope_cols=(), split_col: st
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_sq_off", F.sum("_sq_n").over(w_prev)) \
         .where(F.col("_sq_off") > 0).drop("_sq_n")
-    joined = numbered.join(offsets, part, "left")
+    # Merged, never broadcast: with many continuing groups the offsets are as many as the rows,
+    # while the optimizer guesses their size from that of the files.
+    joined = numbered.join(offsets.hint("merge"), part, "left")
     res = joined.withColumn(out, (F.col("_sq_local") + F.coalesce(F.col("_sq_off"), F.lit(0)))
                             .cast("bigint"))
-    return res.drop(*gk, "_sq_local", "_sq_off")
+    return res.select(*[back[c].alias(c) if c in back else F.col(c) for c in df.columns if c != out], out)
 
 
 def mark_last_write(df: DataFrame, keys, order_cols, out: str = "is_last") -> DataFrame:

@@ -33,6 +33,7 @@ from vitrine.operators.sequence import last_write_wins, with_event_seq
 from vitrine.operators.watermark import file_changes
 from vitrine.plans import transform as tf
 from vitrine.plans import job_queries
+from vitrine.sources.fs import stored_bytes
 from vitrine.spec import (CUT2_SCHEMA, KEY_LABEL_COMPOSITE, KEY_LABEL_PLATE,
                           NOTE_NO_LOG, NOTE_NO_LOG_CUT2)
 
@@ -44,6 +45,7 @@ EXISTING_BEFORE = "2000-01-01"
 STAGED_FROM = "1999-07-01"
 SPLIT_ROWS = 8  # rows per simulated file split of the events stand-in
 RUN_TS = "2024-02-01 00:00:00"
+PART_BYTES = 4 << 20  # Parquet bytes of the audited tables whose keys are aggregated by one task
 
 # The oracle's own copy of the fixed invalid markers.
 MARKER_SQL = "'-1.#J', '1.#J', 'NaN', '1.#QNAN', '-1.#IND', '-1.#INF', '1.#INF'"
@@ -117,9 +119,20 @@ def _labels(spark):
         "line string, key_label string, no_log_note string")
 
 
+def _parts(spark, d, names=("events", "lineitem", "orders")):
+    """Tasks of the key aggregation: the session's, or more for larger tables."""
+    size = sum(stored_bytes(spark, f"{d.rstrip('/')}/{n}.parquet") for n in names)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def _pairs(spark, d):
+    lk, tr = _audit_inputs(spark, d)
+    return rc.key_pairs(lk, tr, _parts(spark, d))
+
+
 def _results(spark, d, cut2_zero_rule=True):
     lk, tr = _audit_inputs(spark, d, cut2_zero_rule)
-    return rc.audit_results(lk, tr, _labels(spark).select("line", "key_label"))
+    return rc.audit_results(lk, tr, _labels(spark).select("line", "key_label"), parts=_parts(spark, d))
 
 
 # ---------------------------------------------------------------------------
@@ -308,12 +321,12 @@ def q_zero_id_report(spark, d):
 
 def q_missing_in_db(spark, d):
     lk, tr = _audit_inputs(spark, d)
-    return rc.only_left(lk, tr)
+    return rc.only_left(lk, tr, _parts(spark, d))
 
 
 def q_excess_in_db(spark, d):
     lk, tr = _audit_inputs(spark, d)
-    return rc.only_left(tr, lk)
+    return rc.only_left(tr, lk, _parts(spark, d))
 
 
 def q_except_ids(spark, d):
@@ -322,13 +335,11 @@ def q_except_ids(spark, d):
 
 
 def q_reconcile_ids(spark, d):
-    lk, tr = _audit_inputs(spark, d)
-    return rc.reconcile_counts(rc.key_pairs(lk, tr))
+    return rc.reconcile_counts(_pairs(spark, d))
 
 
 def q_audit_status(spark, d):
-    lk, tr = _audit_inputs(spark, d)
-    return rc.classify(rc.reconcile_counts(rc.key_pairs(lk, tr))) \
+    return rc.classify(rc.reconcile_counts(_pairs(spark, d))) \
         .select("line", "audited_date", "total_log", "total_db", "divergence", "status")
 
 
@@ -337,14 +348,12 @@ def q_audit_note(spark, d):
 
 
 def q_missing_sample(spark, d):
-    lk, tr = _audit_inputs(spark, d)
-    s = rc.ranked_keys(rc.missing_keys(rc.key_pairs(lk, tr)), 20)
+    s = rc.ranked_keys(rc.missing_keys(_pairs(spark, d)), 20, _parts(spark, d))
     return s.select("line", "audited_date", py_list_text("keys").alias("sample"))
 
 
 def q_missing_ids_text(spark, d):
-    lk, tr = _audit_inputs(spark, d)
-    s = rc.ranked_keys(rc.missing_keys(rc.key_pairs(lk, tr)), rc.IDS_TEXT_RANKS)
+    s = rc.ranked_keys(rc.missing_keys(_pairs(spark, d)), rc.IDS_TEXT_RANKS, _parts(spark, d))
     return s.select("line", "audited_date", bounded_text(F.array_join("keys", ",")).alias("ids_missing"))
 
 
@@ -353,8 +362,7 @@ def q_audit_all_lines(spark, d):
 
 
 def q_audit_summary(spark, d):
-    lk, tr = _audit_inputs(spark, d)
-    res = rc.classify(rc.reconcile_counts(rc.key_pairs(lk, tr)))  # statuses need no ID texts
+    res = rc.classify(rc.reconcile_counts(_pairs(spark, d)))  # statuses need no ID texts
     days = res.select("audited_date").distinct()
     expected = rc.expected_lines(days, ["MIRROR1", "CUT1", "CUT2"])
     return rc.audit_summary(res, expected)
@@ -366,7 +374,8 @@ def q_audit_rerun(spark, d):
     first = _results(spark, d, cut2_zero_rule=True).select(*rc.RESULT_COLUMNS)
     ev = _t(spark, d, "events")
     rerun = rc.audit_results(tf.hourly_log_keys(cut2_raw(ev)), tf.hourly_table_rows(cut2_table(ev, False), "CUT2"),
-                             _labels(spark).select("line", "key_label")).select(*rc.RESULT_COLUMNS)
+                             _labels(spark).select("line", "key_label"),
+                             parts=_parts(spark, d, ("events",))).select(*rc.RESULT_COLUMNS)
     return upsert(first, rerun, ["line", "audited_date"])
 
 

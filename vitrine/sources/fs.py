@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-__all__ = ["path_exists", "delete_path", "glob_paths", "move_file"]
+__all__ = ["path_exists", "delete_path", "glob_paths", "move_file", "stored_bytes"]
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -38,3 +38,9 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
     fs.delete(p, False)
     if not fs.rename(_fs_path(spark, source)[1], p):
         raise OSError(f"could not move {source} to {target}")
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files under a folder."""
+    fs, p = _fs_path(spark, path)
+    return int(fs.getContentSummary(p).getLength())
