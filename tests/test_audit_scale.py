@@ -71,6 +71,12 @@ def test_counts_and_lists_share_one_pass(spark, sf_small, plan, name):
     assert len(re.findall("FileScan parquet .l_orderkey", text)) == 1 and "ReusedExchange" in text
 
 
+def test_rerun_is_computed_once(spark, sf_small, plan):
+    text = plan(catalog.QUERIES["audit_rerun"](spark, sf_small))
+    assert len(re.findall("FileScan parquet .l_orderkey", text)) == 1
+    assert len(re.findall("FileScan parquet .event_id", text)) <= 6
+
+
 def test_null_day_has_counts_but_no_ids(spark):
     log = rows(spark, ("A", "DATE'2024-01-05'", "'1'"))
     db = rows(spark, ("A", "NULL", "'9'"))
