@@ -7,6 +7,7 @@ import pytest
 from vitrine.operators import reconcile as rc
 from vitrine.operators.sequence import with_event_seq
 from vitrine.plans import catalog
+from vitrine.plans import transform as tf
 
 ROWS = "line string, audited_date date, key string"
 
@@ -84,3 +85,43 @@ def test_null_day_has_counts_but_no_ids(spark):
     got = {r["audited_date"] is None: (r["ids_missing"], r["n_extra"], r["note"]) for r in rc.audit_results(log, db, labels).collect()}
     assert got[False][0] == "1" and "['1']" in got[False][2]
     assert got[True][:2] == ("", 1) and got[True][2].endswith("sample: []")
+
+
+def test_counters_are_dealt_by_table_size(spark, sf_small, plan, monkeypatch):
+    """Both counters sort and count in as many tasks as the tables ask for, whatever the session's
+    number, and no task counts a whole file split's groups before the shuffle."""
+    monkeypatch.setattr(catalog, "PART_BYTES", 1 << 12)
+    parts = catalog._parts(spark, sf_small, ("events",))
+    assert parts > 4
+    ev = catalog._t(spark, sf_small, "events")
+    for rows in (tf.hourly_log_keys(catalog.cut2_raw(ev), parts=parts), catalog.cut2_table(ev, True, parts)):
+        text = plan(rows)
+        counts = set(re.findall(r", (\d+)\), (?:REPARTITION_BY_NUM|ENSURE_REQUIREMENTS)", text))
+        assert counts == {str(parts)}
+        assert re.search(r"partial_count\(1\)[^\n]*\n[^\n]*Exchange", text)
+    found = catalog.QUERIES["reconcile_ids"](spark, sf_small)
+    assert len(re.findall(rf"_s(?:q\d+v|plit)[^\n]*, {parts}\), REPARTITION_BY_NUM", plan(found))) >= 6
+
+
+@pytest.mark.parametrize("parts", [3, 7])
+def test_dealt_counters_equal_the_plain_window(spark, parts):
+    df = spark.sql("SELECT CAST(IF(id % 5 = 0, NULL, id % 3) AS int) AS k, 'f' AS f, id AS pos, id div 4 AS split FROM range(60)")
+    got = with_event_seq(df, ["k"], ["split", "pos"], scope_cols=["f"], split_col="split", parts=parts)
+    want = with_event_seq(df, ["k"], ["pos"], scope_cols=["f"])
+    assert got.schema.names == want.schema.names
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_summary_reads_the_keys_once(spark, sf_small, plan):
+    text = plan(catalog.QUERIES["audit_summary"](spark, sf_small))
+    assert len(re.findall("Union", text)) == 2 and text.count("SortMergeJoin [_sq") == 2
+    got = rc.audited_days(*catalog._audit_sides(spark, sf_small))
+    want = rc.reconcile_counts(catalog._pairs(spark, sf_small)).select("audited_date").distinct()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_survivors_of_the_shares_are_dealt_by_parts(spark, plan):
+    keys = spark.sql("SELECT IF(id % 2 = 0, 'A', 'B') AS line, DATE'2024-01-05' + CAST(id % 3 AS int) AS audited_date, CAST(id AS string) AS key FROM range(90)")
+    got = rc.first_ranks(keys, rc.DAY, 4, 5)
+    assert re.findall(r"line#\d+, audited_date#\d+(?:, _s#\d+L?)?, (\d+)\), REPARTITION_BY_NUM", plan(got)) == ["5", "5"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, rc.first_ranks(keys, rc.DAY, 4).collect()))

@@ -20,6 +20,8 @@ Semantics kept from the source audit:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ from vitrine.spec import (IDS_TEXT_LIMIT, NOTE_LIMIT, NOTE_OK, SAMPLE_SIZE,
                           STATUS_OK)
 
 __all__ = ["key_pairs", "missing_keys", "excess_keys", "only_left", "except_keys", "reconcile_counts",
-           "classify", "first_ranks", "ranked_keys", "audit_results", "audit_results_of_pairs", "audit_summary", "expected_lines",
+           "classify", "first_ranks", "ranked_keys", "audit_results", "audit_results_of_pairs", "audit_summary", "audited_days", "expected_lines",
            "RESULT_COLUMNS"]
 
 DAY = ["line", "audited_date"]
@@ -119,11 +121,13 @@ def first_ranks(keys: DataFrame, by: list[str], k: int, parts: int | None = None
     """Rows whose key is among the first ``k`` of its group, with their rank ``_r``: ranked
     within hash shares of the group, then among the (at most RANK_SALTS * k) survivors. The
     shares are dealt first (over ``parts`` tasks), so that no sort joins the aggregation that
-    made the keys in a task."""
+    made the keys in a task; so are their survivors."""
     salted = keys.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(RANK_SALTS)))
     salted = salted.repartition(*([parts] if parts else []), *by, "_s")
     part = Window.partitionBy(*by, "_s").orderBy("key")
     few = salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k).drop("_s", "_r")
+    if parts:
+        few = few.repartition(parts, *by)
     whole = Window.partitionBy(*by).orderBy("key")
     return few.withColumn("_r", F.row_number().over(whole)).where(F.col("_r") <= k)
 
@@ -198,6 +202,13 @@ def audit_results_of_pairs(pairs: DataFrame, key_labels: DataFrame,
     )
 
 
+def audited_days(log_keys: list[DataFrame], table_rows: list[DataFrame]) -> DataFrame:
+    """Distinct days with a log key or a table row of any line, as ``reconcile_counts`` has them.
+    Each line's days are made distinct on their own, so that its counters need not be worked out."""
+    days = [rows.where(F.col("key").isNotNull()) for rows in log_keys] + table_rows
+    return reduce(DataFrame.union, [rows.select("audited_date").distinct() for rows in days]).distinct()
+
+
 def expected_lines(days: DataFrame, lines) -> DataFrame:
     """Every (line, audited_date) that should have a result: each audited day exploded
     into the configured line names (a literal list, so the output grows only with the

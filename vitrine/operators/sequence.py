@@ -41,11 +41,14 @@ def null_safe_keys(df: DataFrame, keys, prefix: str = "_k"):
 
 
 def with_event_seq(df: DataFrame, keys, order_cols, scope_cols=(), split_col: str | None = None,
-                   out: str = "event_seq") -> DataFrame:
+                   out: str = "event_seq", parts: int | None = None) -> DataFrame:
     """0-based occurrence number of each row within (scope, keys), ordered by ``order_cols``.
 
     ``order_cols`` must be a total order inside a scope (e.g. split start, row position).
     NULL key values form one group, like any other value.
+
+    ``parts`` (with ``split_col``): tasks over which the rows, then the group sizes, are dealt
+    before they are sorted or counted, so that a caller can let their number follow the input.
     """
     keys, scope = list(keys), list(scope_cols)
     order = _order(order_cols)
@@ -58,12 +61,19 @@ def with_event_seq(df: DataFrame, keys, order_cols, scope_cols=(), split_col: st
     spare = [] if any(not isinstance(c, str) for c in order_cols) else \
         [i for i, k in enumerate(scope + keys) if k not in {*order_cols, split_col}]
     base = base.drop(*[(scope + keys)[i] for i in spare])
-    back = {(scope + keys)[i]: F.when(~F.col(gk[2 * i + 1]), F.col(gk[2 * i])) for i in spare}
+    back = {(scope + keys)[i]: F.when(~F.col(gk[2 * i + 1]), F.col(gk[2 * i])) if df.schema[(scope + keys)[i]].nullable
+            else F.col(gk[2 * i]) for i in spare}
+    # The flag of a column that is never null would be a constant, on which the optimizer deals anew.
+    gk = [c for j, c in enumerate(gk) if not j % 2 or df.schema[(scope + keys)[j // 2]].nullable]
     part = gk + [split_col]
+    if parts:
+        base = base.repartition(parts, *part)
     w_local = Window.partitionBy(*part).orderBy(*order)
     numbered = base.withColumn("_sq_local", F.row_number().over(w_local) - 1)
     # Group sizes per split: grouping on the window's own keys needs no new shuffle.
     sizes = numbered.groupBy(*part).agg(F.count(F.lit(1)).alias("_sq_n"))
+    if parts:
+        sizes = sizes.repartition(parts, *gk)
     # Rows of the same group in earlier splits; only continuing groups get an offset.
     w_prev = Window.partitionBy(*gk).orderBy(split_col) \
         .rowsBetween(Window.unboundedPreceding, -1)

@@ -16,6 +16,7 @@ itself (orders vs shipments, and the optional zero-ID rule on the CUT2 load).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ EXISTING_BEFORE = "2000-01-01"
 STAGED_FROM = "1999-07-01"
 SPLIT_ROWS = 8  # rows per simulated file split of the events stand-in
 RUN_TS = "2024-02-01 00:00:00"
-PART_BYTES = 4 << 20  # Parquet bytes of the audited tables whose keys are aggregated by one task
+PART_BYTES = 2 << 20  # Parquet bytes of the audited tables whose keys are aggregated, or rows counted, by one task
 
 # The oracle's own copy of the fixed invalid markers.
 MARKER_SQL = "'-1.#J', '1.#J', 'NaN', '1.#QNAN', '-1.#IND', '-1.#INF', '1.#INF'"
@@ -96,23 +97,28 @@ def cut2_raw(ev: DataFrame) -> DataFrame:
     )
 
 
-def cut2_table(ev: DataFrame, zero_rule: bool) -> DataFrame:
+def cut2_table(ev: DataFrame, zero_rule: bool, parts: int | None = None) -> DataFrame:
     rows = tf.clean_hourly(cut2_raw(ev), RUN_TS, require_all=False)
-    rows = tf.sequence_hourly(rows)
+    rows = tf.sequence_hourly(rows, parts=parts)
     return tf.zero_id_rule(rows, enabled=zero_rule)
 
 
-def _audit_inputs(spark, d, cut2_zero_rule=True):
+def _audit_sides(spark, d, cut2_zero_rule=True, parts=None):
+    """Log keys by line, and table rows by line; ``parts``: tasks of the CUT2 counters."""
     ev, li, od = _t(spark, d, "events"), _t(spark, d, "lineitem"), _t(spark, d, "orders")
-    log_keys = tf.plate_log_keys(mirror1_log(ev)) \
-        .unionByName(tf.plate_log_keys(cut1_log(li))) \
-        .unionByName(tf.hourly_log_keys(cut2_raw(ev)))
-    table_rows = tf.plate_table_rows(ev, "MIRROR1", "ts", "event_id") \
-        .unionByName(tf.plate_table_rows(od, "CUT1", "o_orderdate", "o_orderkey")) \
-        .unionByName(tf.hourly_table_rows(cut2_table(ev, cut2_zero_rule), "CUT2"))
+    log_keys = [tf.plate_log_keys(mirror1_log(ev)), tf.plate_log_keys(cut1_log(li)),
+                tf.hourly_log_keys(cut2_raw(ev), parts=parts)]
+    table_rows = [tf.plate_table_rows(ev, "MIRROR1", "ts", "event_id"),
+                  tf.plate_table_rows(od, "CUT1", "o_orderdate", "o_orderkey"),
+                  tf.hourly_table_rows(cut2_table(ev, cut2_zero_rule, parts), "CUT2")]
     return log_keys, table_rows
 
 
+def _audit_inputs(spark, d, cut2_zero_rule=True):
+    log_keys, table_rows = _audit_sides(spark, d, cut2_zero_rule, _parts(spark, d, ("events",)))
+    return reduce(DataFrame.unionByName, log_keys), reduce(DataFrame.unionByName, table_rows)
+
+
 def _labels(spark):
     return spark.createDataFrame(
         [("MIRROR1", KEY_LABEL_PLATE, NOTE_NO_LOG), ("CUT1", KEY_LABEL_PLATE, NOTE_NO_LOG),
@@ -121,7 +127,7 @@ def _labels(spark):
 
 
 def _parts(spark, d, names=("events", "lineitem", "orders")):
-    """Tasks of the key aggregation: the session's, or more for larger tables."""
+    """Tasks of the key aggregation and of the counters: the session's, or more for larger tables."""
     size = sum(stored_bytes(spark, f"{d.rstrip('/')}/{n}.parquet") for n in names)
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
@@ -227,7 +233,7 @@ def q_composite_key(spark, d):
         time_of_day("ts").alias("tod"),
         F.floor(F.col("event_id") / SPLIT_ROWS).cast("bigint").alias("block_start"))
     s = with_event_seq(ev, ["cap", "lite", "tod"], ["block_start", "event_id"], scope_cols=["day"],
-                       split_col="block_start")
+                       split_col="block_start", parts=_parts(spark, d, ("events",)))
     return s.select("event_id", "tod", composite_key("cap", "lite", "ts", "event_seq").alias("key"))
 
 
@@ -236,7 +242,7 @@ def q_event_seq(spark, d):
         "event_id", "user_id", "event_type", hour_start("ts").alias("file_hour"),
         F.floor(F.col("event_id") / SPLIT_ROWS).cast("bigint").alias("block_start"))
     s = with_event_seq(ev, ["user_id", "event_type"], ["block_start", "event_id"],
-                       scope_cols=["file_hour"], split_col="block_start")
+                       scope_cols=["file_hour"], split_col="block_start", parts=_parts(spark, d, ("events",)))
     return s.select("event_id", "event_seq")
 
 
@@ -245,7 +251,7 @@ def q_event_seq_day(spark, d):
         "event_id", "user_id", "event_type", F.to_date("ts").alias("day"),
         hour_start("ts").alias("file_hour"))
     s = with_event_seq(ev, ["user_id", "event_type"], ["file_hour", "event_id"],
-                       scope_cols=["day"], split_col="file_hour")
+                       scope_cols=["day"], split_col="file_hour", parts=_parts(spark, d, ("events",)))
     return s.select("event_id", "event_seq")
 
 
@@ -364,7 +370,7 @@ def q_audit_all_lines(spark, d):
 
 def q_audit_summary(spark, d):
     res = rc.classify(rc.reconcile_counts(_pairs(spark, d)))  # statuses need no ID texts
-    days = res.select("audited_date").distinct()
+    days = rc.audited_days(*_audit_sides(spark, d))
     expected = rc.expected_lines(days, ["MIRROR1", "CUT1", "CUT2"])
     return rc.audit_summary(res, expected)
 
@@ -373,10 +379,10 @@ def q_audit_rerun(spark, d):
     """First run: CUT2 table loaded with the zero-ID rule (rows missing). Re-run after a
     full reload: CUT2 only. Upsert by (line, audited_date) keeps the other lines."""
     first = _results(spark, d, cut2_zero_rule=True).select(*rc.RESULT_COLUMNS)
-    ev = _t(spark, d, "events")
-    rerun = rc.audit_results(tf.hourly_log_keys(cut2_raw(ev)), tf.hourly_table_rows(cut2_table(ev, False), "CUT2"),
-                             _labels(spark).select("line", "key_label"),
-                             parts=_parts(spark, d, ("events",))).select(*rc.RESULT_COLUMNS)
+    ev, parts = _t(spark, d, "events"), _parts(spark, d, ("events",))
+    rerun = rc.audit_results(tf.hourly_log_keys(cut2_raw(ev), parts=parts),
+                             tf.hourly_table_rows(cut2_table(ev, False, parts), "CUT2"),
+                             _labels(spark).select("line", "key_label"), parts=parts).select(*rc.RESULT_COLUMNS)
     path = fresh_dir(spark, "audit_rerun")
     rerun.write.parquet(path)  # one row a day; the upsert reads its staged rows twice
     rerun = spark.read.schema(rerun.schema).parquet(path)

@@ -53,10 +53,10 @@ def clean_hourly(raw: DataFrame, run_ts, require_all: bool = True, keep=()) -> D
     return out.withColumn(EXTRACTION_COLUMN, F.lit(run_ts).cast("timestamp_ntz"))
 
 
-def sequence_hourly(rows: DataFrame, split_col: str | None = "block_start") -> DataFrame:
+def sequence_hourly(rows: DataFrame, split_col: str | None = "block_start", parts: int | None = None) -> DataFrame:
     """event_seq per file and (cap_id, lite_id, time), in physical order."""
     return with_event_seq(rows, ["cap_id", "lite_id", "time"], ["block_start", "row_pos"],
-                          scope_cols=["file_key"], split_col=split_col)
+                          scope_cols=["file_key"], split_col=split_col, parts=parts)
 
 
 def table_exprs() -> list:
@@ -95,21 +95,21 @@ def plate_log_keys(raw: DataFrame, date_col: str = "Date", key_col: str = "GrpID
 
 def hourly_log_keys(raw: DataFrame, time_col: str = "time", lite_col: str = "lite_id",
                     cap_col: str = "cap_id", order_cols=("file_hour", "block_start", "row_pos"),
-                    typed: bool = True) -> DataFrame:
+                    typed: bool = True, parts: int | None = None) -> DataFrame:
     """Hourly-log rows -> composite keys 'cap|lite|HH:MM:SS|seq', the counter running
     over all files of the audited day (rows of other days do not advance it)."""
     t, lite = F.trim(F.col(time_col)), F.trim(F.col(lite_col))
     ts = log_time(F.col(time_col), date_col=F.col("file_date"))
     cap_k, lite_k = audit_id(F.col(cap_col), typed), audit_id(F.col(lite_col), typed)
     rows = computed(raw.where(F.coalesce(t, F.lit("")) != "").where(F.coalesce(lite, F.lit("")) != ""),
-                    ["line", *order_cols], _ts=ts, _cap=cap_k, _lite=lite_k) \
+                    order_cols, line=F.col("line"), _ts=ts, _cap=cap_k, _lite=lite_k) \
         .where(F.col("_ts").isNotNull()) \
         .withColumn("audited_date", F.to_date("_ts")) \
         .withColumn("_tod", time_of_day("_ts"))
     # split = (file, split start): a hot key is numbered split by split, never whole
     rows = rows.withColumn("_split", F.struct(*order_cols[:-1]))
     rows = with_event_seq(rows, ["_cap", "_lite", "_tod"], ["_split", order_cols[-1]],
-                          scope_cols=["line", "audited_date"], split_col="_split", out="_seq")
+                          scope_cols=["line", "audited_date"], split_col="_split", out="_seq", parts=parts)
     return rows.select("line", "audited_date",
                        composite_key("_cap", "_lite", "_ts", "_seq").alias("key"))
 
