@@ -36,7 +36,8 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeats(docs, carry=COLUMNS).where("n_removed = 0 or n_removed < n_words")
+    others = tuple(c for c in COLUMNS if c != "text")  # the text itself goes to Python once only
+    out = substring_dedup.remove_repeats(docs, carry=others).where("n_removed = 0 or n_removed < n_words")
     return out.select(*[F.col("kept").alias(c) if c == "text" else
                         F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("rest.n_chars")).alias(c) if c == "n_chars"
                         else F.col(f"rest.{c}").alias(c) for c in COLUMNS])

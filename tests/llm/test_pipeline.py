@@ -110,3 +110,24 @@ def test_clashing_columns_nulls_and_long_texts(spark, tmp_path):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     kept = {r[0]: r[1] for r in rows}
     assert np.frombuffer(b"".join(got[plain][100]), "<u4").tolist() == t.encode(kept[100], add_special_tokens=False).ids + [0]
+
+
+def test_substring_stage_sends_the_text_to_python_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*C.COLUMNS)
+    plan = C.without_repeats(spark, docs, "")._jdf.queryExecution().analyzed().toString()
+    sent = re.findall(r"struct\([^)]*\) AS rest", plan)
+    assert sent and not any(re.search(r"\btext\b", x) for x in sent)
+
+
+def test_a_worker_that_changes_operators_hands_its_memory_back(monkeypatch):
+    from vitrine.llm import common
+
+    done = []
+    monkeypatch.setattr(common, "trim", lambda: done.append("trim"))
+    monkeypatch.setattr(common, "_HELD", {})
+    monkeypatch.setattr(common, "_OWNER", [])
+    common.claim("one", lambda: done.append("release"))
+    common.claim("one", lambda: done.append("never"))
+    common.claim("other")
+    common.claim("other")
+    assert done == ["trim", "never", "trim"]

@@ -309,19 +309,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, depth:
         cell = b.column("cell").to_numpy()
         return (np.frombuffer(bits.value, np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
+    # slices are filtered one by one: a filter copies what it keeps
     def untouched(batches):
-        for b in batches:
-            for s in slices([b.filter(pa.array(~meets(b)))], "text", SLICE):
-                n = [len(split_words(x)) for x in s.column("text").to_pylist()]
+        claim("substring_dedup words")
+        for b in slices(batches, "text", SLICE):
+            s = b.filter(pa.array(~meets(b)))
+            n = [len(split_words(x)) for x in s.column("text").to_pylist()]
+            if n:
                 yield pa.RecordBatch.from_arrays(
                     [s.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64)), s.column("text"), s.column("rest")],
                     names=CLEANED)
 
     def suspects(batches):
-        for b in batches:
-            yield b.filter(pa.array(meets(b))).select(["doc_id", "rid", "text", "rest"])
+        claim("substring_dedup words")
+        for b in slices(batches, "text", SLICE):
+            s = b.filter(pa.array(meets(b)))
+            if s.num_rows:
+                yield s.select(["doc_id", "rid", "text", "rest"])
 
     def clean(batches):
+        claim("substring_dedup words")
         for b in slices(batches, "text", SLICE):
             n, gone, kept = [], [], []
             for text, at in zip(b.column("text").to_pylist(), b.column("starts").to_pylist()):
