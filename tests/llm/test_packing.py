@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import defaultdict
 
@@ -97,3 +98,39 @@ def test_robin_is_exact_and_monotone():
         assert (np.diff(sent, axis=0) >= 0).all()
         assert (sent.sum(axis=1) == np.minimum(np.arange(r.windows + 1) * 16, sum(totals))).all()
         assert sent[-1].tolist() == totals
+
+
+def test_ids_are_not_shuffled_to_learn_their_places(spark, tmp_path):
+    """A row per source and partition travels, not the documents' ids."""
+    rows = [(k, "some words, and more " * (k % 7), "st"[k % 2]) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.pack(docs, JSON, P.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"BroadcastHashJoin[^\n]*\n(?:[^\n]*(?:Project|Filter|ColumnarToRow)[^\n]*\n)*[^\n]*FileScan parquet \[doc_id", plan)
+
+
+def test_words_marks_and_line_ends_share_one_cache():
+    e = M.ByteLevelEncoder(JSON, P.PATTERN)
+    t = Tokenizer.from_file(JSON)
+    t.encode_special_tokens = True
+    odd = ["..'s it's a 'sfoo x... y!? ,,b", "one.\ntwo, three\nfour", "a\n\nb\n c \nd\n", "٣٤, x٣.", "<|endoftext|>. ok", "é. ñandú,;\né",
+           "'.", "' ,\" ,\" .", "\x01.a\x7f, b", "don't. I'll, y'all&&& z***", "x\x1c\ny\n\x85z\n w", "_a_ (b) [c]\n{d}", ""]
+    for text in odd * 2:
+        assert np.frombuffer(e.encode([text])[0], e.wide).tolist() == t.encode(text, add_special_tokens=False).ids, text
+    e.encode(["alone alone"])
+    assert e.known["alone"] and not hasattr(e, "word_ids")
+
+
+def test_sources_in_blocks_of_their_own_are_solved_once(monkeypatch):
+    """Twenty sources far apart, their rows in turn: a block is not solved again at every row."""
+    monkeypatch.setattr(M, "BLOCK", 64)
+    totals = [200_000] * 20
+    r, solved, sent = M.Robin(totals, [1.0] * 20, 1024), [], M.Robin.sent
+    monkeypatch.setattr(M.Robin, "sent", lambda self, w: solved.append(len(w)) or sent(self, w))
+    for k in range(10):
+        for q in range(20):
+            r.pieces(q, 9_900 * q + 5 * k, 9_900 * q + 5 * k + 5)
+    assert len(solved) <= 80
